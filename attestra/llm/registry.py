@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, media, packing, unigram
+from . import bpe, licenses, media, merkle, packing, unigram
 
 
 def queries() -> dict:
@@ -10,9 +10,11 @@ def queries() -> dict:
         "op2_bpe": bpe.op2_bpe,
         "op3_media": media.op3_media,
         "op6_token_counts": unigram.op6_token_counts,
+        "op7_license_scan": licenses.op7_license_scan,
         "op8_packing": packing.op8_packing,
+        "op10_fingerprints": merkle.op10_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_license_scan": licenses.ORACLE, "op10_fingerprints": merkle.ORACLE}
