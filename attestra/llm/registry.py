@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, media, merkle, packing, unigram
+from . import bpe, licenses, media, merkle, packing, quality, unigram, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_bpe": bpe.op2_bpe,
         "op3_media": media.op3_media,
+        "op4_quality": quality.op4_quality,
+        "op5_url_filter": url_filter.op5_url_filter,
         "op6_token_counts": unigram.op6_token_counts,
         "op7_license_scan": licenses.op7_license_scan,
         "op8_packing": packing.op8_packing,
