@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, media, merkle, packing, quality, unigram, url_filter
+from . import bpe, licenses, media, merkle, neardup, packing, quality, repeats, unigram, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": repeats.op1_suffix_dedup,
         "op2_bpe": bpe.op2_bpe,
         "op3_media": media.op3_media,
         "op4_quality": quality.op4_quality,
@@ -14,6 +15,7 @@ def queries() -> dict:
         "op6_token_counts": unigram.op6_token_counts,
         "op7_license_scan": licenses.op7_license_scan,
         "op8_packing": packing.op8_packing,
+        "op9_near_duplicates": neardup.op9_near_duplicates,
         "op10_fingerprints": merkle.op10_fingerprints,
     }
 
