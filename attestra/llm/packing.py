@@ -107,7 +107,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], encode_path: str, end_id: int | N
         arrays = [pa.array(cols[0], id_type), *(pa.array(np.array(c, np.int64)) for c in cols[1:7])]
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         if keep_ids:
-            arrays.append(pa.array([x.tolist() for x in cols[7]], pa.list_(pa.int32())))
+            flat = np.concatenate(cols[7]).view(np.int32) if cols[7] else np.zeros(0, np.int32)
+            arrays.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in cols[7]])]).astype(np.int32), pa.array(flat)))
             names.append("ids")
         out.clear()
         return pa.RecordBatch.from_arrays(arrays, names)

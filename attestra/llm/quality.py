@@ -163,19 +163,19 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return bytes(found[0]["weights"]), found[0]["bias"]
 
 
-def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id, score of every row; with keep, all columns of docs and then score.
+def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", text_col: str = "text", keep: bool = False, name: str = "score") -> DataFrame:
+    """doc_id, score of every row; with keep, all columns of docs and then the score, under the given name.
 
     A null or empty text, or one without words, gets the score of the bias alone; a null id is carried, repeated rows get
-    equal scores, an empty table gives no rows; a column that is called score is refused where all are kept.
+    equal scores, an empty table gives no rows; a column that has the score's name already is refused where all are kept.
     """
     common.ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    if keep and "score" in docs.columns:
-        raise ValueError("column score exists already")
+    if keep and name in docs.columns:
+        raise ValueError(f"column {name} exists already")
     chosen = docs if keep else docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     at = chosen.columns.index(text_col if keep else "text")
-    names = [*chosen.columns, "score"] if keep else ["doc_id", "score"]
+    names = [*chosen.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, bias = sent.value
@@ -184,8 +184,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", t
             scores = pa.array([raw_score(x.as_py() or "", weights, bias) for x in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.columns if keep else batch.columns[:1]), scores], names)
 
-    fields = list(chosen.schema.fields) if keep else [T.StructField("doc_id", T.LongType())]
-    return chosen.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return chosen.mapInArrow(run, T.StructType([*(list(chosen.schema.fields) if keep else [T.StructField("doc_id", T.LongType())]), T.StructField(name, T.DoubleType())]))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,7 +269,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     empty table gives no rows; columns called n_bytes, spans or kept are refused where all are kept; very long texts are
     hashed in chunks. What is left may begin or end within a character.
     """
-    if keep and (clash := {"n_bytes", "spans", "kept"} & set(docs.columns)):
+    if keep and (clash := {"n_bytes", "spans", "kept", "__text", "__key", "__copied"} & set(docs.columns)):
         raise ValueError(f"columns {sorted(clash)} exist already")
     named, spans = repeated_spans(docs, length, text_col, id_col, **options)
     text = F.coalesce(F.col(text_col), F.lit(""))
