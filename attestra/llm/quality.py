@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", t
         raise ValueError(f"column {name} exists already")
     chosen = docs if keep else docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     at = chosen.columns.index(text_col if keep else "text")
-    names = [*chosen.columns, name]
+    names = [*(chosen.columns if keep else chosen.columns[:1]), name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, bias = sent.value
