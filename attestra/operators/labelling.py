@@ -137,9 +137,12 @@ def tag_by_rules(df: DataFrame, item: str, chain: str, rules: Sequence[tuple[str
 
     The rules are literals (a short list), so every pattern is compiled once and no join is needed.
     """
-    hits = F.array(*[F.struct(F.lit(node).alias("nodo"), weakness(F.lit(role)).alias("w"), F.transform(F.col(chain), lambda x, p=pattern: F.regexp_like(x, F.lit(p))).alias("at")) for pattern, node, role in rules])
-    found = df.select(item, F.explode(F.filter(F.transform(hits, lambda h: F.struct(h["nodo"].alias("nodo"), h["w"].alias("w"), F.array_position(h["at"], True).alias("first"), h["at"].alias("at"))), lambda h: h["first"] > 0)).alias("h"))
-    best = found.withColumn("level", F.min("h.first").over(Window.partitionBy(item)))
+    def levels(pattern: str) -> Column:
+        return F.transform(F.col(chain), lambda code: F.regexp_like(code, F.lit(pattern)))
+
+    hits = F.array(*[F.struct(F.lit(node).alias("nodo"), weakness(F.lit(role)).alias("w"), levels(pattern).alias("at")) for pattern, node, role in rules])
+    found = df.select(item, F.explode(hits).alias("h")).withColumn("first", F.array_position("h.at", True)).where("first > 0")
+    best = found.withColumn("level", F.min("first").over(Window.partitionBy(item)))
     kept = best.where(F.element_at("h.at", F.col("level").cast("int")))
     return kept.groupBy(item, F.col("h.nodo").alias("nodo")).agg(role_of(F.min("h.w")).alias("rol"))
 
