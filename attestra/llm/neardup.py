@@ -3,11 +3,12 @@
 Every text's set of word shingles is reduced to 128 registers: the leading-zero count and ten more bits of the least hash in
 each of 128 hash families. Bands of four whole registers are the candidate keys. A set that several texts share is one node.
 
-Candidates are never all pairs of a group. First each node of a bucket is paired with the bucket's least node only; what
-these links join is one component. Then only pairs of different components matter: small buckets give theirs directly, and
-the nodes of large ones are joined by the rarest fifth of their shingles, without which no two sets can be similar enough,
-so that frequent passages make no pairs. Pairs must pass a Jaccard estimate, corrected for chance collisions of compressed
-registers and five standard deviations below the threshold, and are confirmed on full sets.
+Candidates are never all pairs of a group. First each node of a bucket is paired with one node of it only, in a few rounds
+with another one each time; what these links join is one component. Then only pairs of different components matter: small
+buckets give theirs directly, and the nodes of large ones are joined by the rarest fifth of their shingles, without which no
+two sets can be similar enough, and only where the shingles that follow in both can still make them so; frequent passages
+make no pairs. Pairs must pass a Jaccard estimate, corrected for chance collisions of compressed registers and five standard
+deviations below the threshold, and are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from . import common
 LANES, ROWS, MANTISSA = 128, 4, 10
 BANDS = LANES // ROWS
 #: Buckets with more nodes than this are joined by rare shingles instead.
-SMALL = 64
+SMALL = 16
+#: Rounds in which each node of a bucket is paired with one other.
+STARS = 3
 _seeds = np.random.Generator(np.random.PCG64(20240607))
 _S = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32)
 _M = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32) | np.uint32(1)
@@ -182,11 +185,17 @@ def _by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: in
     rank = each.join(often, "s", "left").select("node", F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s").alias("k")).groupBy("node").agg(F.sort_array(F.collect_list("k")).alias("k"))
     size = F.size("k")
     rare = F.slice("k", F.lit(1), (size - F.ceil(size * percent / 100 - 1e-9) + 1).cast("int"))
-    prefix = common.cut(rank.join(nodes.select("node", "n", "label"), "node").select("node", "n", "label", F.explode(F.filter(rare, lambda k: k["f"] > 1)).alias("k")).select("node", "n", "label", "k.s"), "neardup-prefix")
+    placed = F.transform(rare, lambda k, i: F.struct(k["f"].alias("f"), k["s"].alias("s"), (i + 1).alias("at")))
+    prefix = common.cut(rank.join(nodes.select("node", "n", "label"), "node").select("node", "n", "label", F.explode(F.filter(placed, lambda k: k["f"] > 1)).alias("k")).select("node", "n", "label", "k.s", "k.at"), "neardup-prefix")
     a, b = prefix.alias("a"), prefix.alias("b")
     close = (F.col("a.n") * percent <= F.col("b.n") * 100) & (F.col("b.n") * percent <= F.col("a.n") * 100)
-    found = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & close)
-    return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    # At the first shingle that both have in common, this one and the shorter rest are all that they can share.
+    enough = (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + 1) * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    found = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & close & enough)
+    out = common.cut(found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "neardup-rare")
+    common.drop(sets)
+    common.drop(prefix)
+    return out
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
@@ -206,13 +215,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = common.cut(placed.join(buckets, ["band", "key"]), "neardup-members")
     stars = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = _verified(stars, nodes, docs, words, percent)
-    labels = components(links)
-
     label = F.coalesce("label", "node")
-    marked = members.join(labels, "node", "left").withColumn("label", label)
-    mixed = marked.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-    open_ = common.cut(marked.join(mixed, ["band", "key"]), "neardup-open")
-    few = open_.where((F.col("size") <= small) & (F.col("node") != F.col("least"))).select("band", "key", "node", "label")
+    open_, labels = members, components(links)
+    for turn in range(1, STARS + 1):
+        marked = open_.drop("label").join(labels, "node", "left").withColumn("label", label)
+        mixed = marked.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("hub")).where("x <> y").select("band", "key", "hub")
+        left = common.cut(marked.drop("hub").join(mixed, ["band", "key"]), "neardup-open")
+        common.drop(open_)
+        open_ = left
+        if turn == STARS or open_.isEmpty():
+            break
+        pairs = open_.where("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        more = _verified(pairs, nodes, docs, words, percent)
+        if more.isEmpty():
+            continue
+        both = common.cut(links.union(more), "neardup-links")
+        common.drop(links)
+        common.drop(more)
+        links, labels = both, components(both)
+    few = open_.where(F.col("size") <= small).select("band", "key", "node", "label")
     a, b = few.alias("a"), few.alias("b")
     pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     large = open_.where(F.col("size") > small).select("node", "label").distinct()
