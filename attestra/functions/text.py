@@ -41,11 +41,14 @@ def plain(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.translate(F.coalesce(c, F.lit("")), ACCENTED, PLAIN)), r"[^\x00-\x7f]", "")
 
 
-@F.pandas_udf("string")
-def plain_exact(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def plain_exact(c: Column) -> Column:
     """As plain(), by full compatibility decomposition, for signs that the table of accents lacks."""
-    for s in parts:
-        yield s.map(lambda t: unicodedata.normalize("NFKD", (t or "").lower()).encode("ascii", "ignore").decode())
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            yield s.map(lambda t: unicodedata.normalize("NFKD", (t or "").lower()).encode("ascii", "ignore").decode())
+
+    return F.pandas_udf(run, "string")(c)
 
 
 def label_key(c: Column) -> Column:

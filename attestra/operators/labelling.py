@@ -168,10 +168,14 @@ def cited_norms(text: str) -> list[tuple[str, int, int, str | None]]:
     return out
 
 
-@F.pandas_udf("array<struct<tipo:string,numero:int,anio:int,organo:string>>")
-def cited_norms_udf(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        yield s.map(lambda t: [dict(zip(("tipo", "numero", "anio", "organo"), x, strict=True)) for x in cited_norms(t)])
+def cited_norms_udf(c: Column | str) -> Column:
+    """cited_norms as a vectorised column function."""
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            yield s.map(lambda t: [dict(zip(("tipo", "numero", "anio", "organo"), x, strict=True)) for x in cited_norms(t)])
+
+    return F.pandas_udf(run, "array<struct<tipo:string,numero:int,anio:int,organo:string>>")(c)
 
 
 def load_norms(evidence: DataFrame, excluded: DataFrame, manual: DataFrame) -> tuple[DataFrame, DataFrame]:

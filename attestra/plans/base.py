@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from attestra.ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -15,6 +17,7 @@ class Tables(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
+        ship(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def __missing__(self, name: str) -> DataFrame:

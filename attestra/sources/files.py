@@ -1,0 +1,299 @@
+"""Readers of binary files: binaryFile rows in, structured rows out, one file at a time on the executors.
+
+Every reader is a function from bytes to plain data; `read_files` runs it over a folder, and a damaged file gives a null
+result and the reason instead of stopping the job. A cache of earlier results, keyed by path and signature, saves reading
+unchanged files again.
+"""
+
+from __future__ import annotations
+
+import io
+import json
+import re
+import struct
+import xml.etree.ElementTree as ET
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from attestra.functions.text import file_signature
+
+#: Names of source files, folders to leave out, rows of a sheet that are kept, signs below which a page is a scan.
+FACTOR, SESSION, NOT_A_SOURCE = r"(?iu)^Factor[ _](\d+)", r"^(\d+)\.\s*(.+)", r"(?iu)\bHV\b|hoja[s]? de vida"
+ANNEX, SKIPPED_ANNEXES, SHEET_ROWS, SCAN_CHARS, EQUIRECTANGULAR = r"(?iu)^Anexo\s+(\d+)", (16, 21), 2000, 150, 0.02
+
+
+def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """path, signature of files, without their content (the column is pruned)."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+    return found.select("path", file_signature(F.col("length"), F.col("modificationTime")).alias("signature"), "length")
+
+
+def file_name(path: Column) -> Column:
+    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+
+
+def sources(files: DataFrame, institutional: bool = False) -> DataFrame:
+    """codigo, nombre, factor, pdf, pptx, sede of the source documents among files (path): formats of one name are one source."""
+    name = file_name(F.col("path"))
+    f = files.select("path", name.alias("name")).where(~F.col("name").startswith("~$") & ~F.regexp_like("name", F.lit(NOT_A_SOURCE)) & F.lower("name").rlike(r"\.(pdf|pptx)$"))
+    f = f.withColumn("ext", F.lower(F.substring_index("name", ".", -1))).withColumn("stem", F.regexp_replace("name", r"\.[^.]*$", ""))
+    factor = F.regexp_extract("name", FACTOR, 1).try_cast("int")
+    if institutional:
+        other = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("stem"))  # a folder's few other names
+        named = f.where(factor.isNotNull()).withColumn("codigo", F.format_string("IF%02d", factor)).unionByName(f.where(factor.isNull()).withColumn("codigo", F.format_string("IP%02d", other)))
+        title = F.regexp_replace("stem", r"\s*\(OK\)\s*$", "")
+    else:
+        session = F.regexp_extract("name", SESSION, 1).try_cast("int")
+        named = f.withColumn("codigo", F.when(factor.isNotNull(), F.format_string("F%02d", factor)).when(session.isNotNull(), F.format_string("S%02d", session))).where("codigo IS NOT NULL")
+        title = F.when(factor.isNotNull(), F.col("stem")).otherwise(F.regexp_replace("stem", r"^\d+\.\s*", ""))
+    out = named.groupBy("codigo").agg(F.min(title).alias("nombre"), F.min(factor).alias("factor"), *[F.min(F.when(F.col("ext") == e, F.col("path"))).alias(e) for e in ("pdf", "pptx")])
+    site = F.when(F.col("factor").isNotNull() & F.lit(not institutional), "Programa").otherwise("Institución")
+    return out.withColumn("sede", site).orderBy(F.instr(F.lit("FSI"), F.substring("codigo", 1, 1)), "codigo")
+
+
+def annex_codes(files: DataFrame) -> DataFrame:
+    """Annex files (path, content) with number and code: the nearest 'Anexo N' of the path; of equal files the first by path."""
+    parts = F.filter(F.transform(F.reverse(F.split("path", "/")), lambda p: F.regexp_extract(F.url_decode(p), ANNEX, 1).try_cast("int")), lambda n: n.isNotNull())
+    f = files.withColumn("numero", F.get(parts, F.lit(0))).where(F.col("numero").isNotNull() & ~F.col("numero").isin(*SKIPPED_ANNEXES)).withColumn("hash", F.sha2("content", 256)).drop("content")
+    first = f.withColumn("n", F.row_number().over(Window.partitionBy("hash").orderBy("path"))).where("n = 1").drop("n")
+    w = Window.partitionBy("numero")
+    base = F.concat(F.lit("AX-"), F.format_string("%02d", "numero"))
+    return first.withColumn("codigo", F.when(F.count(F.lit(1)).over(w) == 1, base).otherwise(F.concat(base, F.lit("-"), F.format_string("%02d", F.row_number().over(w.orderBy("path"))))))
+
+
+def is_scan(text: Column, pages: Column) -> Column:
+    return F.length(F.coalesce(text, F.lit(""))) < SCAN_CHARS * pages
+
+
+def slide_differs(slide_text: Column, page_text: Column, least: float = 0.3) -> Column:
+    """Whether a slide and the page it should be share too few words."""
+    from attestra.functions.text import jaccard, words4
+
+    return jaccard(words4(slide_text), words4(page_text)) < least
+
+
+# --- Formats -----------------------------------------------------------------------------------------------------------
+
+
+def read_glb(data: bytes) -> dict:
+    """Vertices, triangles, meshes, compression and size of a binary glTF file, from its JSON chunk."""
+    magic, _, _ = struct.unpack_from("<4sII", data, 0)
+    size, kind = struct.unpack_from("<I4s", data, 12)
+    if magic != b"glTF" or kind != b"JSON":
+        raise ValueError("not a GLB file")
+    g = json.loads(data[20 : 20 + size])
+    acc = g.get("accessors", [])
+    prims = [p for m in g.get("meshes", []) for p in m.get("primitives", [])]
+    at = [acc[p["attributes"]["POSITION"]] for p in prims if "POSITION" in p.get("attributes", {})]
+    corners = [acc[p["indices"]]["count"] if "indices" in p else acc[p["attributes"]["POSITION"]]["count"] for p in prims]
+    boxes = [a for a in at if "min" in a and "max" in a]
+    dims = [round(max(a["max"][k] for a in boxes) - min(a["min"][k] for a in boxes), 3) for k in range(3)] if boxes else []
+    return {"vertices": sum(a["count"] for a in at), "triangles": sum(c // 3 for c in corners), "meshes": len(g.get("meshes", [])), "draco": "KHR_draco_mesh_compression" in g.get("extensionsUsed", []), "dims": dims, "generator": (g.get("asset", {}).get("generator") or "")[:60]}
+
+
+def _exif(block: bytes) -> dict:
+    order = {b"II": "<", b"MM": ">"}[block[:2]]
+    names = {0x010F: "make", 0x0110: "model", 0x0132: "date", 0x9003: "date"}
+    out: dict = {}
+    todo = [struct.unpack_from(order + "I", block, 4)[0]]
+    while todo and len(out) < 50:
+        at = todo.pop()
+        (n,) = struct.unpack_from(order + "H", block, at)
+        for k in range(n):
+            tag, kind, count, value = struct.unpack_from(order + "HHII", block, at + 2 + 12 * k)
+            if tag == 0x8769:
+                todo.append(value)
+            elif tag in names and kind == 2:
+                raw = block[value : value + count] if count > 4 else block[at + 10 + 12 * k : at + 10 + 12 * k + count]
+                out[names[tag]] = raw.rstrip(b"\0 ").decode("latin-1")
+    return out
+
+
+def read_jpeg(data: bytes) -> dict:
+    """Size, camera, date and whether it is a full-sphere picture; places are never read."""
+    if data[:2] != b"\xff\xd8":
+        raise ValueError("not a JPEG file")
+    at, out = 2, {"width": 0, "height": 0, "make": None, "model": None, "date": None}
+    while at + 4 <= len(data) and data[at] == 0xFF:
+        mark, size = data[at + 1], struct.unpack_from(">H", data, at + 2)[0]
+        if mark == 0xE1 and data[at + 4 : at + 10] == b"Exif\0\0":
+            out |= _exif(data[at + 10 : at + 2 + size])
+        if 0xC0 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
+            out["height"], out["width"] = struct.unpack_from(">HH", data, at + 5)
+            break
+        at += 2 + size
+    if not out["height"]:
+        raise ValueError("no picture size")
+    return out | {"equirectangular": abs(out["width"] / out["height"] - 2) < EQUIRECTANGULAR}
+
+
+def read_mp4(data: bytes) -> dict:
+    """Duration in seconds and size of the first track that has one."""
+    out = {"seconds": 0.0, "width": 0, "height": 0}
+
+    def boxes(at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+        while at + 8 <= end:
+            size, kind = struct.unpack_from(">I4s", data, at)
+            head = 8
+            if size == 1:
+                size, head = struct.unpack_from(">Q", data, at + 8)[0], 16
+            size = size or end - at
+            if size < head:
+                raise ValueError("damaged box")
+            yield kind, at + head, min(end, at + size)
+            at += size
+
+    def walk(at: int, end: int) -> None:
+        for kind, start, stop in boxes(at, end):
+            if kind in (b"moov", b"trak"):
+                walk(start, stop)
+            elif kind == b"mvhd":
+                scale, length = struct.unpack_from(">IQ", data, start + 20) if data[start] else struct.unpack_from(">II", data, start + 12)
+                out["seconds"] = round(length / scale, 3) if scale else 0.0
+            elif kind == b"tkhd" and not out["width"]:
+                w, h = struct.unpack_from(">II", data, stop - 8)
+                out["width"], out["height"] = w >> 16, h >> 16
+
+    walk(0, len(data))
+    if not out["seconds"] and not out["width"]:
+        raise ValueError("no film header")
+    return out
+
+
+def _local(e: ET.Element) -> str:
+    return e.tag.rpartition("}")[2]
+
+
+def _all(e: ET.Element, name: str) -> Iterator[ET.Element]:
+    return (x for x in e.iter() if _local(x) == name)
+
+
+def _relations(z: zipfile.ZipFile, part: str) -> dict[str, str]:
+    folder, _, name = part.rpartition("/")
+    rels = f"{folder}/_rels/{name}.rels"
+    if rels not in z.namelist():
+        return {}
+    out = {}
+    for r in ET.fromstring(z.read(rels)):
+        parts = (folder + "/" + r.get("Target", "")).split("/") if not r.get("Target", "").startswith("/") else r.get("Target")[1:].split("/")
+        done: list[str] = []
+        for p in parts:
+            done = done[:-1] if p == ".." else done + [p] if p not in ("", ".") else done
+        out[r.get("Id")] = "/".join(done)
+    return out
+
+
+def read_xlsx(data: bytes, most: int = SHEET_ROWS) -> dict[str, list[list[str]]]:
+    """Sheets as dense rows of texts: shared and inline strings, gaps filled with ''."""
+    out: dict[str, list[list[str]]] = {}
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        text = lambda e: "".join(t.text or "" for t in _all(e, "t"))
+        shared = [text(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        rels = _relations(z, "xl/workbook.xml")
+        for sheet in _all(ET.fromstring(z.read("xl/workbook.xml")), "sheet"):
+            target = rels[next(v for k, v in sheet.attrib.items() if k.endswith("}id"))]
+            rows = []
+            for row in _all(ET.fromstring(z.read(target)), "row"):
+                cells: dict[int, str] = {}
+                for c in _all(row, "c"):
+                    letters = re.match("[A-Z]*", c.get("r", "")).group()
+                    at = 0
+                    for ch in letters:
+                        at = at * 26 + ord(ch) - 64
+                    at = at - 1 if letters else len(cells)
+                    value = next((v.text or "" for v in _all(c, "v")), "")
+                    cells[at] = shared[int(value)] if c.get("t") == "s" and value else text(c) if c.get("t") == "inlineStr" else value
+                rows.append([cells.get(k, "") for k in range(max(cells, default=-1) + 1)])
+                if len(rows) >= most:
+                    break
+            out[sheet.get("name")] = rows
+    return out
+
+
+def _fill_down(levels: list[dict[int, str]], n: int) -> list[str]:
+    """Multi-level categories: outer labels hold until the next; joined from the outermost in."""
+    out, last = [], [""] * len(levels)
+    for k in range(n):
+        for j, level in enumerate(levels):
+            last[j] = level.get(k, last[j])
+        out.append(" / ".join(x for x in reversed(last) if x))
+    return out
+
+
+def _chart(xml: bytes) -> dict:
+    root = ET.fromstring(xml)
+    area = next(_all(root, "plotArea"))
+    title = next(iter(["".join(t.text or "" for t in _all(x, "t")) for x in _all(root, "title")]), "")
+    kinds = sorted({_local(x) for x in area if _local(x).endswith("Chart")})
+    points = lambda e: {int(p.get("idx")): next((v.text or "" for v in _all(p, "v")), "") for p in _all(e, "pt")}
+    series = []
+    for s in _all(area, "ser"):
+        part = {_local(x): x for x in s}
+        values = points(part["val"]) if "val" in part else {}
+        n = max(values, default=-1) + 1
+        cat = part.get("cat")
+        levels = [points(x) for x in _all(cat, "lvl")] if cat is not None else []
+        names = _fill_down(levels, n) if levels else [points(cat).get(k, "") if cat is not None else "" for k in range(n)]
+        data = []
+        for k, v in sorted(values.items()):
+            try:
+                data.append((names[k], float(v)))
+            except ValueError:
+                continue
+        series.append({"nombre": "".join(v.text or "" for v in _all(part["tx"], "v")) if "tx" in part else "", "puntos": data})
+    return {"titulo": title, "tipo": "+".join(kinds), "series": series}
+
+
+def read_pptx(data: bytes) -> list[dict]:
+    """Slides in the order of presentation: hidden, text, tables, charts."""
+    out = []
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        rels = _relations(z, "ppt/presentation.xml")
+        order = [rels[next(v for k, v in s.attrib.items() if k.endswith("}id"))] for s in _all(ET.fromstring(z.read("ppt/presentation.xml")), "sldId")]
+        for part in order:
+            root = ET.fromstring(z.read(part))
+            paragraph = lambda e: "".join(t.text or "" for t in _all(e, "t"))
+            tables = [[["\n".join(map(paragraph, _all(c, "p"))).strip() for c in _all(r, "tc")] for r in _all(t, "tr")] for t in _all(root, "tbl")]
+            charts = [_chart(z.read(p)) for p in _relations(z, part).values() if "/charts/chart" in p and p in z.namelist()]
+            out.append({"oculta": root.get("show") == "0", "texto": "\n".join(x for x in map(paragraph, _all(root, "p")) if x.strip()), "tablas": tables, "graficas": charts})
+    return out
+
+
+READERS: dict[str, Callable[[bytes], object]] = {"glb": read_glb, "jpg": read_jpeg, "jpeg": read_jpeg, "mp4": read_mp4, "xlsx": read_xlsx, "pptx": read_pptx}
+
+
+def read_files(files: DataFrame, readers: dict[str, Callable[[bytes], object]] | None = None, cache: DataFrame | None = None) -> DataFrame:
+    """path, signature, result (JSON text), error of binaryFile rows; results in cache of the same path and signature are reused."""
+    from attestra.ship import ship
+
+    ship(files.sparkSession)
+    known = readers or READERS
+    f = files.withColumn("signature", file_signature(F.col("length"), F.col("modificationTime")))
+    todo = f.join(cache.select("path", "signature"), ["path", "signature"], "left_anti") if cache is not None else f
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for path, sign, content in zip(part.path, part.signature, part.content, strict=True):
+                reader = known.get(path.rpartition(".")[2].lower())
+                try:
+                    if reader is None:
+                        raise ValueError("no reader for this format")
+                    rows.append((path, sign, json.dumps(reader(bytes(content)), ensure_ascii=False), None))
+                except Exception as e:  # one damaged file of many; the reason is kept
+                    rows.append((path, sign, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["path", "signature", "result", "error"])
+
+    read = todo.select("path", "signature", "content").mapInPandas(run, "path string, signature string, result string, error string")
+    return read.unionByName(cache.join(f.select("path", "signature"), ["path", "signature"], "left_semi")) if cache is not None else read
+
+
+def asset_summary(read: DataFrame) -> DataFrame:
+    """One evidence for the models of a collection: number, mean vertices (whole), total size, formats."""
+    g = read.where("result IS NOT NULL AND lower(path) LIKE '%.glb'").select(F.from_json("result", "vertices long, triangles long, meshes long, draco boolean").alias("g"))
+    n, mean = F.count("*"), F.floor(F.sum("g.vertices") / F.count("*"))
+    return g.agg(F.lit("RA-3D").alias("codigo"), F.lit("recurso_digital").alias("tipo"), F.format_string("%d modelos 3D; %d vértices en promedio; %d con compresión", n, mean, F.count(F.when(F.col("g.draco"), 1))).alias("texto"))
