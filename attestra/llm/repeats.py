@@ -24,7 +24,7 @@ from .suffix import repeated_starts
 
 LENGTH, GRAM = 200, 32
 #: Windows that are hashed at once, bytes that are sorted at once, different runs of one value above which it is split.
-CHUNK, SHARD_BYTES, MANY = 1 << 17, 8 << 20, 4096
+CHUNK, SHARD_BYTES, MANY = 1 << 17, 2 << 20, 4096
 _BASE = 0x9E3779B97F4A7C15
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Multipliers of the hash families: the first for routing, the others for splitting.
