@@ -31,7 +31,7 @@ def desired_labels(t: dict[str, DataFrame], targets: Sequence[str] = TARGETS) ->
     level = F.coalesce("nivel", F.lit("principal"))
     own = t["evidencia_nodo"].where("origen = 'extraccion'")
     usable = evidence.where(level != "escenario").select(F.col("codigo").alias("evidencia"), (level == "complementaria").alias("extra"))
-    labels = own.where("estado <> 'descartada'").join(usable, "evidencia")
+    labels = own.where("estado <> 'descartada'").join(usable, "evidencia").select("evidencia", "marco", "nodo", "rol", "extra")
     edges = t["correspondencia"].where(F.col("estado") != "descartada").where(F.col("marco_destino").isin(*targets)).select("marco_origen", "origen", "marco_destino", "destino", "tipo")
     label_weak = F.when(F.col("extra"), 2).otherwise(weakness(F.col("rol")))
     found = paths(labels, edges, ["evidencia"], ["marco", "nodo"], ["marco_origen", "origen"], ["marco_destino", "destino"], label_weak, weakness(edge_role(F.col("tipo"))))

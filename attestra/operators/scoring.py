@@ -49,7 +49,7 @@ def propose(courses: DataFrame, pads: DataFrame, results: DataFrame, experiences
     quote = lambda lead: lambda m: F.concat(lead, F.lit(": «"), m, F.lit("»"))
     words = F.concat_ws(" ", "nombre", "descripcion")
     parts = [
-        _points(results, F.col("texto"), RESULT, at(0, F.col("consecutivo")), True, quote(F.concat_ws(" ", "pad", F.lit("REA"), F.col("consecutivo").cast("string")))),
+        _points(results, F.col("texto"), RESULT, at(0, F.col("consecutivo")), True, quote(F.concat_ws(" ", "pad", F.lit("REA"), F.col("orden.n").cast("string")))),
         experiences.where("tipo = 'soluciona_problema'").select("curso", at(1, F.col("orden")).alias("orden"), F.lit("SO1").alias("so"), F.lit(PROBLEM).alias("puntos"), F.lit(False).alias("con_rea"), F.concat("pad", F.lit(" soluciona un problema: "), F.substring(F.coalesce("nombre", F.lit("")), 1, 60)).alias("motivo")),
         _points(experiences, words, EXPERIENCE, at(1, F.col("orden")), False, quote(F.concat_ws(" ", "pad", F.lit("experiencia")))),
         _points(pads, F.col("rea_general"), RESULT, at(2), True, quote(F.concat_ws(" ", "pad", F.lit("REA general")))),
