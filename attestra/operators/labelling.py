@@ -24,7 +24,7 @@ NORM_YEARS = (1990, 2026)
 ISSUERS = (("Consejo Superior", r"Superior|C\.?\s?S\b|CSU|CS\b"), ("Consejo Académico", r"Acad[eé]mico|C\.?\s?A\b"), ("Rectoría", r"Rector"))
 
 
-def first_match(rules: Sequence[tuple[Column, str]], otherwise: str) -> Column:
+def first_match(rules: Sequence[tuple[Column, str | Column]], otherwise: str) -> Column:
     """The value of the first rule whose condition holds."""
     out = F.lit(otherwise)
     for condition, value in reversed(rules):
