@@ -3,8 +3,8 @@
 Every text's set of word shingles is reduced to 128 registers: the leading-zero count and ten more bits of the least hash in
 each of 128 hash families. Bands of four whole registers are the candidate keys. A set that several texts share is one node.
 
-Candidates are never all pairs of a group. First each node of a bucket is paired with one node of it only, in a few rounds
-with another one each time; what these links join is one component. Then only pairs of different components matter: small
+Candidates are never all pairs of a group. First each node is paired with one node only of those in its buckets, in a few
+rounds with another one each time; what these links join is one component. Then only pairs of different components matter: small
 buckets give theirs directly, and the nodes of large ones are joined by the rarest fifth of their shingles, without which no
 two sets can be similar enough, and only where the shingles that follow in both can still make them so; frequent passages
 make no pairs. Pairs must pass a Jaccard estimate, corrected for chance collisions of compressed registers and five standard
@@ -29,7 +29,7 @@ LANES, ROWS, MANTISSA = 128, 4, 10
 BANDS = LANES // ROWS
 #: Buckets with more nodes than this are joined by rare shingles instead.
 SMALL = 16
-#: Rounds in which each node of a bucket is paired with one other.
+#: Rounds in which each node is paired with one other of its buckets.
 STARS = 3
 _seeds = np.random.Generator(np.random.PCG64(20240607))
 _S = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32)
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     buckets = placed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
     members = common.cut(placed.join(buckets, ["band", "key"]), "neardup-members")
-    stars = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.where("node <> least").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
     links = _verified(stars, nodes, docs, words, percent)
     label = F.coalesce("label", "node")
     open_, labels = members, components(links)
@@ -225,7 +225,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         open_ = left
         if turn == STARS or open_.isEmpty():
             break
-        pairs = open_.where("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        other = open_.where("label <> hub.label").groupBy("node").agg(F.min("hub.node").alias("hub"))
+        pairs = other.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         more = _verified(pairs, nodes, docs, words, percent)
         if more.isEmpty():
             continue
