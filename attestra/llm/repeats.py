@@ -100,6 +100,14 @@ def runs(raw: np.ndarray, length: int, family: int = 0) -> Iterator[tuple[int, i
         yield from zip(least[first].tolist(), (first + at).tolist(), (last + at + length).tolist(), strict=True)
 
 
+def places(piece: np.ndarray, length: int, family: int) -> int:
+    """At how many places a run has its least gram; a run that has it at one place cannot repeat a window of its own."""
+    if len(piece) <= length:
+        return 1
+    x = _gram_hashes(piece, family)
+    return int(np.count_nonzero(x == x.min()))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -108,22 +116,24 @@ _RUNS = "route long, sid binary, bytes binary, key binary, start int"
 
 
 class _RunRows:
-    """Rows of runs; of equal bytes a task gives only the first."""
+    """Rows of runs; of equal bytes a task gives only the first. More columns of int64 may follow those of _RUNS."""
 
-    def __init__(self):
-        self.rows, self.seen = [], set()
+    def __init__(self, *more: str):
+        self.rows, self.seen, self.more = [], set(), more
 
-    def add(self, route: int, piece: bytes, key: bytes, start: int) -> None:
+    def add(self, route: int, piece: bytes, key: bytes, start: int, *more: int) -> None:
         sid = hashlib.blake2b(piece, digest_size=16).digest()
-        self.rows.append((route, sid, None if sid in self.seen else piece, key, start))
+        self.rows.append((route, sid, None if sid in self.seen else piece, key, start, *more))
         if len(self.seen) > 200_000:
             self.seen.clear()
         self.seen.add(sid)
 
     def batch(self) -> pa.RecordBatch:
-        cols = list(zip(*self.rows, strict=True)) or [()] * 5
+        names = ["route", "sid", "bytes", "key", "start", *self.more]
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), *(pa.int64() for _ in self.more)]
+        cols = list(zip(*self.rows, strict=True)) or [()] * len(names)
         self.rows.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()), strict=True)], ["route", "sid", "bytes", "key", "start"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
 
 def _runs_of(texts: DataFrame, length: int) -> DataFrame:
@@ -145,18 +155,19 @@ def _runs_of(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _split_again(found: DataFrame, length: int, family: int) -> DataFrame:
-    """The runs of found, split where another hash of their windows changes."""
+    """The runs of found, split where another hash of their windows changes, and in `times` at how many places each has its least gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _RunRows()
+        out = _RunRows("times")
         for batch in batches:
             for route, data, key, start in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                for value, first, end in runs(np.frombuffer(data, np.uint8), length, family):
+                raw = np.frombuffer(data, np.uint8)
+                for value, first, end in runs(raw, length, family):
                     mixed = ((route & (1 << 64) - 1) * _BASE ^ value) & (1 << 64) - 1
-                    out.add(_signed(mixed), data[first:end], key, start + first)
+                    out.add(_signed(mixed), data[first:end], key, start + first, places(raw[first:end], length, family))
             yield out.batch()
 
-    return found.select("route", "bytes", "key", "start").mapInArrow(run, _RUNS)
+    return found.select("route", "bytes", "key", "start").mapInArrow(run, _RUNS + ", times long")
 
 
 def _sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -242,8 +253,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
         whole = found.groupBy("sid").agg(F.max("bytes").alias("all_bytes"))
         far = found.join(hot, "route", "left_semi").drop("bytes").join(whole.withColumnRenamed("all_bytes", "bytes"), "sid")
         split = common.cut(_split_again(far, length, family), "repeats-split")
-        twice = split.groupBy("route").count().where("count > 1").select("route")
-        found = common.cut(found.join(hot, "route", "left_anti").unionByName(split.join(twice, "route", "left_semi")), "repeats-runs")
+        # As with route values, a value counts by places: a single run that has its least gram twice may repeat itself.
+        twice = split.groupBy("route").agg(F.sum("times").alias("times")).where("times > 1").select("route")
+        found = common.cut(found.join(hot, "route", "left_anti").unionByName(split.drop("times").join(twice, "route", "left_semi")), "repeats-runs")
     distinct = found.groupBy("sid").agg(F.first("route").alias("route"), F.max("bytes").alias("bytes"), F.count("*").alias("n"))
     marked = common.cut(_sorted_shards(distinct, length, shard_bytes).where(F.size("spans") > 0), "repeats-marked")
     once = texts.where("copies = 1").select("key")

@@ -52,6 +52,23 @@ def test_repeats_equal_brute_force(spark, rng, options):
     assert removed(df, **options) == brute_removed(rows, 200)
 
 
+def test_line_repeated_in_a_row_within_a_hot_route(spark, rng):
+    """A line of many contexts gives a hot route; in a row, the splitting hash has its least gram across the lines' border."""
+    size, gram = 60, repeats.GRAM
+
+    def least(line, family):
+        x = repeats._gram_hashes(repeats.np.frombuffer(line.encode() * 6, repeats.np.uint8), family)
+        return int(x.argmin()) % size, int(x.min())
+
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(size)) for _ in range(4000)]
+    line = min((x for x in lines if least(x, 0)[0] <= size - gram < least(x, 1)[0]), key=lambda x: least(x, 0)[1])
+    rows = [(k, invented(rng, 20) + line + invented(rng, 20)) for k in range(12)] + [(100, invented(rng, 20) + line * 6 + invented(rng, 20))]
+    want = brute_removed(rows, 200)
+    assert sum(r[2] for r in want) == 6 * size
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removed(df) == want and removed(df, many=2) == want
+
+
 def test_repeats_edges(spark, edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
     assert removed(edge_docs) == brute_removed(rows, 200)
