@@ -69,7 +69,7 @@ def section_title(text: Column, otherwise: Column) -> Column:
     """'SECTION: first line that says more', from the informative lines of a slide without header."""
     lines = informative_lines(text, 4, noise=r"^[\d\s%.,$•|-]+$")
     section = F.get(lines, F.lit(0))
-    rest = F.get(F.filter(F.slice(lines, 2, 10_000), lambda x: (F.length(x) >= 12) & (F.upper(x) != F.upper(section))), F.lit(0))
+    rest = F.get(F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: (F.length(x) >= 12) & (F.upper(x) != F.upper(section))), F.lit(0))
     return F.coalesce(F.substring(F.when(rest.isNotNull(), F.concat(section, F.lit(": "), rest)).otherwise(section), 1, TITLE_LENGTH), otherwise)
 
 

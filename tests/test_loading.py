@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from attestra.operators import labelling as lb
 from attestra.operators import loading as ld
 
 
@@ -22,6 +23,13 @@ def test_slides_and_charts(spark):
     assert tuple(t.first())[3:] == (2, 2, [["Clave: [omitido]", "b"], ["c"]]) and [r[0] for r in lost.collect()] == ["F09-P001"]
 
 
+def test_section_title_looks_through_all_lines(spark):
+    text = "\n".join(["SECCIÓN UNO"] * 10_050 + ["La primera línea que dice más"])
+    df = spark.createDataFrame([(text,), ("",), ("SECCIÓN UNO",)], "texto string")
+    got = [r.t for r in df.select(lb.section_title(F.col("texto"), F.lit("otro")).alias("t")).collect()]
+    assert got == ["SECCIÓN UNO: La primera línea que dice más", "otro", "SECCIÓN UNO"]
+
+
 def test_plans_and_documents(spark):
     pads = spark.createDataFrame(
         [("P1", "d/uno.pdf", "Física", "Ing. Agronómica", None, [(1, "a"), (1, "b")], [("I", "x")], [("vive_experiencia", "E", [("A", "2 semanas", "semana 3", ["campo"])])]), ("P1", "d/dos.pdf", "Otra", None, 3, [], [], [])],
