@@ -98,7 +98,7 @@ def demultiplex(data: bytes) -> dict[int, dict]:
             raise ValueError(f"page {number} of stream {serial} is out of order")
         if bool(flags & CONTINUED) != (s["part"] is not None):
             raise ValueError(f"page {number} of stream {serial} continues no packet")
-        at, size, part = 0, 0, s["part"] or b""
+        at, size, part, before = 0, 0, s["part"] or b"", len(s["packets"])
         for k, x in enumerate(lacing):
             size += x
             if x < 255:
@@ -107,7 +107,7 @@ def demultiplex(data: bytes) -> dict[int, dict]:
                 part, at, size = b"", at + size, 0
         open_ = bool(lacing) and lacing[-1] == 255 or not lacing and s["part"] is not None
         s["part"] = part + body[at:] if open_ else None
-        if granule >= 0 and s["granules"] and lacing:
+        if granule >= 0 and len(s["packets"]) > before:
             s["granules"][-1] = granule
         s["pages"] += 1
         s["ended"] = bool(flags & LAST)
@@ -117,8 +117,25 @@ def demultiplex(data: bytes) -> dict[int, dict]:
     return streams
 
 
+def packet_ends(sizes: np.ndarray, granules: list[int | None]) -> np.ndarray:
+    """The sample position at each packet's end: backwards from the granule position of its page, onwards where none follows."""
+    ends = np.zeros(len(sizes), np.int64)
+    known = [k for k, g in enumerate(granules) if g is not None]
+    for k in range(len(sizes) - 1, -1, -1):
+        if granules[k] is not None:
+            ends[k] = granules[k]
+        elif k + 1 < len(sizes):
+            ends[k] = ends[k + 1] - sizes[k + 1]
+    rest = known[-1] + 1 if known else 0
+    ends[rest:] = (ends[rest - 1] if rest else 0) + np.cumsum(sizes[rest:])
+    return ends
+
+
 def read_samples(data: bytes) -> list[dict]:
-    """Each sample stream of a file: payload, rate, start time in seconds of each packet, pages."""
+    """Each sample stream of a file: payload, rate, sizes of packets, start time in seconds of each from its page's granule position, pages.
+
+    A stream may begin at any position and leave out time between packets; packets that overlap are damage.
+    """
     out = []
     for serial, s in sorted(demultiplex(data).items()):
         first = s["packets"][0]
@@ -126,27 +143,31 @@ def read_samples(data: bytes) -> list[dict]:
             continue
         rate, frame, total = struct.unpack_from("<IIQ", first, len(MAGIC))
         packets = s["packets"][1:]
-        ends = np.cumsum([len(p) for p in packets], dtype=np.int64)
-        for g, end in zip(s["granules"][1:], ends, strict=True):
-            if g is not None and g != end:
-                raise ValueError(f"stream {serial} has {end} samples where its granule position says {g}")
+        sizes = np.array([len(p) for p in packets], np.int64)
+        ends = packet_ends(sizes, s["granules"][1:])
+        begin = ends - sizes
+        if (begin < np.concatenate([[0], ends[:-1]])[: len(begin)]).any():
+            raise ValueError(f"stream {serial} has more samples than its granule positions have room for")
         payload = b"".join(packets)
         if len(payload) != total:
             raise ValueError(f"stream {serial} has {len(payload)} of {total} samples")
-        starts = (ends - [len(p) for p in packets]) / rate if packets else np.zeros(0)
-        out.append({"serial": serial, "rate": rate, "frame": frame, "payload": payload, "starts": starts, "pages": s["pages"]})
+        out.append({"serial": serial, "rate": rate, "frame": frame, "payload": payload, "sizes": sizes, "begin": begin, "starts": begin / rate, "pages": s["pages"]})
     return out
 
 
-def describe(payload: bytes, rate: int, pages: int, frame: int = FRAME) -> str:
-    """Duration, pages, mean level, loudest frame and sign changes of 8-bit samples."""
+def describe(payload: bytes, rate: int, pages: int, sizes: np.ndarray, begin: np.ndarray, frame: int = FRAME) -> str:
+    """Duration, pages, mean level, loudest frame and sign changes of 8-bit samples; times follow the packets' positions."""
     if not payload:
         return f"dur=0.000;pages={pages};mean=0.0000;peak=0@0.000;zc=0"
     x = np.frombuffer(payload, np.uint8)
     sums = np.add.reduceat(x.astype(np.uint32), np.arange(0, len(x), frame))
     loud = int(sums.argmax())
     over = x >= 128
-    return f"dur={len(x) / rate:.3f};pages={pages};mean={x.mean(dtype=np.float64):.4f};peak={int(sums[loud])}@{loud * frame / rate:.3f};zc={int(np.count_nonzero(over[1:] != over[:-1]))}"
+    offsets = np.cumsum(sizes) - sizes
+    k = int(np.searchsorted(offsets, loud * frame, "right")) - 1
+    peak = int(begin[k]) + loud * frame - int(offsets[k])
+    samples = int(begin[-1] + sizes[-1] - begin[0])
+    return f"dur={samples / rate:.3f};pages={pages};mean={x.mean(dtype=np.float64):.4f};peak={int(sums[loud])}@{peak / rate:.3f};zc={int(np.count_nonzero(over[1:] != over[:-1]))}"
 
 
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,7 +216,7 @@ def decode_media(files: DataFrame, media_col: str = "media") -> DataFrame:
                         raise ValueError("no sample stream")
                     s = streams[0]
                     payloads.append(s["payload"])
-                    features.append(describe(s["payload"], s["rate"], s["pages"], s["frame"]))
+                    features.append(describe(s["payload"], s["rate"], s["pages"], s["sizes"], s["begin"], s["frame"]))
                     errors.append(None)
                 except (ValueError, struct.error, IndexError) as e:
                     payloads.append(None)

@@ -42,6 +42,26 @@ def test_packets_across_pages_and_damage():
             media.demultiplex(bad)
 
 
+def test_times_follow_granule_positions(spark):
+    loud = bytes([1]) * 1152 + bytes([255]) * 576
+
+    def stream(*ends):
+        head = media.MAGIC + media.struct.pack("<IIQ", 8000, 576, 1728)
+        packet = bytes([255, 255, 66])
+        bodies = [(packet * 2, loud[:1152]), (packet, loud[1152:])]
+        pages = [media.page(media.FIRST, 0, 5, 0, bytes([len(head)]), head)]
+        return b"".join(pages + [media.page(media.LAST * k, end, 5, k + 1, *x) for k, (end, x) in enumerate(zip(ends, bodies, strict=True))])
+
+    for first, second, starts, dur, peak in ((1152, 1728, [0, 576, 1152], "0.216", "0.144"), (9152, 9728, [8000, 8576, 9152], "0.216", "1.144"), (9152, 17728, [8000, 8576, 17152], "1.216", "2.144")):
+        data = stream(first, second)
+        assert media.read_samples(data)[0]["starts"].tolist() == [x / 8000 for x in starts]
+        row = media.decode_media(spark.createDataFrame([(1, data)], "doc_id long, media binary")).first()
+        assert row.error is None and bytes(row.payload) == loud and f"dur={dur};" in row.feature and f"@{peak};" in row.feature
+    for bad in (stream(1000, 1728), stream(1152, 1700)):
+        with pytest.raises(ValueError):
+            media.read_samples(bad)
+
+
 def test_edges(spark, edge_docs, no_docs):
     read = media.decode_media(media.encode_media(edge_docs)).collect()
     want = {}
