@@ -1,5 +1,6 @@
 import hashlib
 import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,16 @@ def test_licenses(spark, edge_docs, no_docs):
     assert licenses.scan(spelled, {"X": "use under this license noncommercial", "Y": "Use under this License: noncommercial"}).first().license_id == "X"
 
 
+def test_whole_licenses(spark):
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / n).exists() for n in names.values()):
+        pytest.skip("no licence texts at hand")
+    rows = [(k, (folder / n).read_text().upper()) for k, n in enumerate(names.values())] + [(50, (folder / "GPL-3").read_text() + " More.")]
+    got = {r.doc_id: r.license_id for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(enumerate(names)), 50: None}
+
+
 def test_fingerprints(spark, edge_docs, no_docs):
     rows = merkle.fingerprint(edge_docs).collect()
     assert len(rows) == edge_docs.count() and merkle.fingerprint(no_docs).count() == 0
