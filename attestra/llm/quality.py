@@ -47,7 +47,7 @@ _SIGNS = _Signs()
 
 def shape(word: str) -> str:
     """Letters become a or A, digits 0, and runs of one sign one sign: 'Thnd***' is 'Aa*'."""
-    return _RUN.sub(r"\1", word[:256].translate(_SIGNS))[:24]
+    return _RUN.sub(r"\1", word.translate(_SIGNS))
 
 
 class _Words(dict):

@@ -21,6 +21,14 @@ def test_quality_on_held_out_labels(spark):
     assert sum((s >= 0.5) == y for s, y in held) / len(held) > 0.9
 
 
+def test_shape_sees_the_whole_word():
+    assert quality.shape("Thnd***") == "Aa*"
+    for n in (30, 300, 30_000):  # beyond 24 signs and beyond 256 characters
+        a, b = "a1" * n + "!", "a1" * n + "?"
+        assert quality.shape(a) == "a0" * n + "!" and quality.shape(a) != quality.shape(b)
+        assert quality.features(a)[1].tolist() != quality.features(b)[1].tolist()
+
+
 def test_quality_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, None), (4, 0), (4, 1), (None, 1), (7, 5)], "doc_id long, quality int")
     model = quality.fit(edge_docs, labels)
