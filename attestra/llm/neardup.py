@@ -1,14 +1,17 @@
 """Near-duplicate detection with HyperMinHash registers.
 
-Every text's set of word shingles is reduced to 128 registers: the leading-zero count and ten more bits of the least hash in
-each of 128 hash families. Bands of four whole registers are the candidate keys. A set that several texts share is one node.
-
-Candidates are never all pairs of a group. First each node is paired with one node only of those in its buckets, in a few
-rounds with another one each time; what these links join is one component. Then only pairs of different components matter: small
-buckets give theirs directly, and the nodes of large ones are joined by the rarest fifth of their shingles, without which no
-two sets can be similar enough, and only where the shingles that follow in both can still make them so; frequent passages
-make no pairs. Pairs must pass a Jaccard estimate, corrected for chance collisions of compressed registers and five standard
-deviations below the threshold, and are confirmed on full sets.
+One 64-bit hash of each word shingle deals a text's set into 128 buckets; a bucket's register holds the leading-zero count
+and ten more bits of its least hash. An empty bucket takes the register of the first filled one in an order of its own, so
+small sets have all registers too. Bands of four whole registers are the candidate keys. A set that several texts share is
+one node, and sets too small to be similar to any other have no keys.
+
+Candidates are never all pairs of a group. The member of a band's group that collides most often is its hub; each node is
+paired with its hubs only, and what these links join is one component. Only pairs of different components are open then.
+They are found by how nodes differ from a hub they share: two sets can be similar enough only if both are linked with the
+hub, which is known, or if enough of what sets them apart from it is the same in both. So nodes are joined by the rarest of
+these differences, as many as that bound asks for, and what a whole group has in common makes no pairs. Pairs must pass a
+Jaccard estimate, corrected for chance collisions of compressed registers and five standard deviations below the threshold,
+and are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -27,13 +30,19 @@ from . import common
 
 LANES, ROWS, MANTISSA = 128, 4, 10
 BANDS = LANES // ROWS
-#: Buckets with more nodes than this are joined by rare shingles instead.
-SMALL = 16
-#: Rounds in which each node is paired with one other of its buckets.
-STARS = 3
-_seeds = np.random.Generator(np.random.PCG64(20240607))
-_S = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32)
-_M = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32) | np.uint32(1)
+#: Bits of a hash that name its bucket, and the hash at which each bucket begins.
+_INDEX = np.uint64(LANES.bit_length() - 1)
+_STARTS = np.arange(LANES, dtype=np.uint64) << (np.uint64(64) - _INDEX)
+
+
+def _donors() -> np.ndarray:
+    """For each bucket all buckets in the order in which it takes a register from them, itself first."""
+    rng = np.random.Generator(np.random.PCG64(20240607))
+    orders = np.stack([rng.permutation(LANES) for _ in range(LANES)])
+    return np.concatenate([np.arange(LANES)[:, None], orders[orders != np.arange(LANES)[:, None]].reshape(LANES, -1)], axis=1)
+
+
+_DONORS = _donors()
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -52,18 +61,14 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """128 registers of 16 bits: leading zeros of the least hash, then the ten bits after its first one."""
-    low = (hashes ^ (hashes >> np.uint64(29))).astype(np.uint32)
-    least = np.full(LANES, np.uint32(0xFFFFFFFF))
-    for at in range(0, len(low), 512):
-        x = (low[at : at + 512, None] ^ _S) * _M
-        x ^= x >> np.uint32(15)
-        x *= np.uint32(0x2C1B3C6D)
-        x ^= x >> np.uint32(12)
-        np.minimum(least, x.min(axis=0), out=least)
-    zeros = 32 - np.frexp(least.astype(np.float64))[1]
-    rest = (least.astype(np.uint64) << (zeros + 1).astype(np.uint64)) & np.uint64(0xFFFFFFFF)
-    return (zeros.astype(np.uint16) << np.uint16(MANTISSA)) | (rest >> np.uint64(32 - MANTISSA)).astype(np.uint16)
+    """128 registers of 16 bits from sorted hashes: leading zeros of a bucket's least hash, then the ten bits after its first one."""
+    first = np.searchsorted(hashes, _STARTS)
+    filled = np.append(first[1:], len(hashes)) > first
+    least = hashes[np.minimum(first, len(hashes) - 1)] << _INDEX
+    zeros = (53 - np.frexp((least >> np.uint64(11)).astype(np.float64))[1]).astype(np.uint64)
+    mantissa = (least << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
+    own = (zeros << np.uint64(MANTISSA) | mantissa).astype(np.uint16)
+    return own[_DONORS[np.arange(LANES), filled[_DONORS].argmax(axis=1)]]
 
 
 def estimate(matches: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -73,8 +78,8 @@ def estimate(matches: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.clip((matches / LANES - chance) / (1 - chance), 0, 1)
 
 
-def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, node (digest of the shingle set; null if it is empty), keys (the registers of each band as one long)."""
+def sketch(docs: DataFrame, words: int, least: int) -> DataFrame:
+    """doc_id, n, node (digest of the shingle set; null if it is empty), keys (each band's registers as one long; null below `least` shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +88,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 h = shingle_hashes(x.as_py(), words)
                 n.append(len(h))
                 node.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-                keys.append(registers(h).view(np.int64) if len(h) else None)
+                keys.append(registers(h).view(np.int64) if len(h) >= max(1, least) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "node", "keys"])
 
     return docs.mapInArrow(run, "doc_id long, n long, node binary, keys array<long>")
@@ -176,80 +181,100 @@ def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, words: i
     return links
 
 
-def _by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes (node, doc_id, n, label) with different labels that share one of their rarest shingles."""
-    sets = common.cut(_sets(docs, nodes.select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-large")
-    each = sets.select("node", F.explode("hashes").alias("s"))
-    often = each.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
-    # Shingles of one node only would come first in its prefix, but match nothing; they still use up places in it.
-    rank = each.join(often, "s", "left").select("node", F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s").alias("k")).groupBy("node").agg(F.sort_array(F.collect_list("k")).alias("k"))
-    size = F.size("k")
-    rare = F.slice("k", F.lit(1), (size - F.ceil(size * percent / 100 - 1e-9) + 1).cast("int"))
-    placed = F.transform(rare, lambda k, i: F.struct(k["f"].alias("f"), k["s"].alias("s"), (i + 1).alias("at")))
-    prefix = common.cut(rank.join(nodes.select("node", "n", "label"), "node").select("node", "n", "label", F.explode(F.filter(placed, lambda k: k["f"] > 1)).alias("k")).select("node", "n", "label", "k.s", "k.at"), "neardup-prefix")
+def _differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """hub, node, label, n, hub_n, d (size), diff: the hashes that only one of node and hub has; hubs are left out themselves."""
+    named = open_.select(F.explode(F.array("node", "hub")).alias("node")).distinct()
+    sets = common.cut(_sets(docs, nodes.join(named, "node").select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-sets")
+    hubs = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_hashes"))
+    joined = open_.join(sets, "node").join(hubs, "hub").select("hub", "node", "label", "hashes", "hub_hashes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(np.asarray(x.values), np.asarray(y.values)) for x, y in zip(batch.column(3), batch.column(4), strict=True)]
+            diff = [np.setxor1d(x, y, assume_unique=True) for x, y in pairs]
+            counts = [pa.array(c, pa.int64()) for c in ([len(x) for x, _ in pairs], [len(y) for _, y in pairs], [len(x) for x in diff])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *counts, pa.array(diff, pa.list_(pa.int64()))], ["hub", "node", "label", "n", "hub_n", "d", "diff"])
+
+    out = common.cut(joined.mapInArrow(run, "hub binary, node binary, label binary, n long, hub_n long, d long, diff array<long>"), "neardup-differences")
+    common.drop(sets)
+    return out
+
+
+def _by_differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of open nodes (hub, node, label) of one hub and different labels whose differences from it may overlap enough.
+
+    Sets of n and m with differences of x and y from a hub, o of them the same, differ in x + y - 2o places, so they are
+    similar enough if and only if 2 * o * plus >= (x + y) * plus - minus * (n + m). One of the two is not linked with the
+    hub, or their labels were equal, so x * plus > minus * (n + hub_n) for it, and o is 1 at least.
+    """
+    plus, minus = 100 + percent, 100 - percent
+    found = _differences(open_, nodes, docs, words)
+    each = found.select("hub", "node", "label", F.explode("diff").alias("s"))
+    often = each.groupBy("hub", "s").agg(F.count("*").alias("f"), (F.min("label") != F.max("label")).alias("mixed")).where("f > 1")
+    # A difference of one node only matches nothing, but still uses up a place among the rarest.
+    placed = each.join(often, ["hub", "s"], "left").groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s", F.coalesce("mixed", F.lit(False)).alias("mixed")))).alias("k"))
+    linked = F.col("d") * plus <= minus * (F.col("n") + F.col("hub_n"))
+    shared = F.when(linked, F.col("d") * plus + minus * (F.col("hub_n") - F.col("n")) + 1).otherwise(2 * percent + F.col("d") * plus - minus * (F.col("hub_n") + F.col("n")))
+    length = F.col("d") - F.greatest(F.lit(1), F.ceil(shared / (2 * plus) - 1e-9)) + 1
+    rare = F.transform(F.slice("k", F.lit(1), F.greatest(length, F.lit(0)).cast("int")), lambda k, i: F.struct(k["s"].alias("s"), (i + 1).alias("at"), k["mixed"].alias("mixed")))
+    prefix = placed.join(found.drop("diff"), ["hub", "node"]).select("hub", "node", "label", "n", "d", F.explode(F.filter(rare, lambda k: k["mixed"])).alias("k"))
+    prefix = common.cut(prefix.select("hub", "node", "label", "n", "d", "k.s", "k.at"), "neardup-prefix")
     a, b = prefix.alias("a"), prefix.alias("b")
     close = (F.col("a.n") * percent <= F.col("b.n") * 100) & (F.col("b.n") * percent <= F.col("a.n") * 100)
-    # At the first shingle that both have in common, this one and the shorter rest are all that they can share.
-    enough = (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + 1) * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
-    found = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & close & enough)
-    out = common.cut(found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "neardup-rare")
-    common.drop(sets)
+    # At the first difference that both have, this one and the shorter rest are all that can be the same.
+    enough = 2 * plus * (F.least(F.col("a.d") - F.col("a.at"), F.col("b.d") - F.col("b.at")) + 1) >= (F.col("a.d") + F.col("b.d")) * plus - minus * (F.col("a.n") + F.col("b.n"))
+    pairs = a.join(b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & close & enough)
+    out = common.cut(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "neardup-rare")
+    common.drop(found)
     common.drop(prefix)
     return out
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (least id reachable over links of at least `percent` % Jaccard), kept.
 
     A text with fewer words than a shingle has one shingle, all its words; null texts and texts without words have none and
     are linked with nothing. Rows with equal sets are linked. Repeated rows are rows of one component, all kept if theirs is
     the least id. A null id is never a component's id unless there is no other; such rows are kept only then. An empty table
-    gives no rows, other columns are ignored, very long texts are taken whole.
+    gives no rows, other columns are ignored, very long texts are taken whole. The result is a table in the shared folder.
     """
     common.ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = common.cut(sketch(docs, words), "neardup-rows")
+    # Unlike sets are n and n + 1 at best, which fewer shingles than these cannot make similar enough.
+    least = percent / (100 - percent) if percent < 100 else math.inf
+    rows = common.cut(sketch(docs, words, least if least == math.inf else math.ceil(least - 1e-9)), "neardup-rows")
     nodes = common.cut(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "neardup-nodes")
-    placed = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    buckets = placed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
-    members = common.cut(placed.join(buckets, ["band", "key"]), "neardup-members")
-    stars = members.where("node <> least").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
-    links = _verified(stars, nodes, docs, words, percent)
+    placed = nodes.select("node", F.posexplode("keys").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    sizes = common.cut(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "neardup-sizes")
+    members = common.cut(placed.join(sizes, "bucket"), "neardup-members")
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = common.cut(members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("hub")), "neardup-hubs")
+    grouped = common.cut(members.join(hubs, "bucket").where("node <> hub"), "neardup-groups")
+    pairs = grouped.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    links = _verified(pairs, nodes, docs, words, percent)
+    labels = components(links)
     label = F.coalesce("label", "node")
-    open_, labels = members, components(links)
-    for turn in range(1, STARS + 1):
-        marked = open_.drop("label").join(labels, "node", "left").withColumn("label", label)
-        mixed = marked.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("hub")).where("x <> y").select("band", "key", "hub")
-        left = common.cut(marked.drop("hub").join(mixed, ["band", "key"]), "neardup-open")
-        common.drop(open_)
-        open_ = left
-        if turn == STARS or open_.isEmpty():
-            break
-        other = open_.where("label <> hub.label").groupBy("node").agg(F.min("hub.node").alias("hub"))
-        pairs = other.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        more = _verified(pairs, nodes, docs, words, percent)
-        if more.isEmpty():
-            continue
-        both = common.cut(links.union(more), "neardup-links")
-        common.drop(links)
-        common.drop(more)
-        links, labels = both, components(both)
-    few = open_.where(F.col("size") <= small).select("band", "key", "node", "label")
-    a, b = few.alias("a"), few.alias("b")
-    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    large = open_.where(F.col("size") > small).select("node", "label").distinct()
-    if not large.isEmpty():
-        pairs = pairs.union(_by_rare_shingles(large.join(nodes.select("node", "doc_id", "n"), "node"), docs, words, percent))
-    more = _verified(pairs.distinct(), nodes, docs, words, percent)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    marked = grouped.where("size > 2").join(labels, "node", "left").select("bucket", "hub", "node", label.alias("label"))
+    mixed = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+    open_ = common.cut(marked.join(mixed, "bucket", "left_semi").select("hub", "node", "label").distinct(), "neardup-open")
+    used = [sizes, members, hubs, grouped, links, open_]
+    if not open_.isEmpty():
+        candidates = _by_differences(open_, nodes, docs, words, percent)
+        more = _verified(candidates, nodes, docs, words, percent)
+        used += [candidates, more]
+        if not more.isEmpty():
+            used.append(labels)
+            labels = components(links.union(more))
 
     classes = nodes.select("node", F.col("doc_id").alias("least_id")).join(labels, "node", "left").withColumn("label", label)
     ids = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = classes.select("node", "label").join(ids, "label").select("node", "component_id")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    result = common.cut(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "neardup-result")
+    for frame in (rows, nodes, labels, *used):
+        common.drop(frame)
+    return result
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

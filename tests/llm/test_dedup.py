@@ -108,8 +108,7 @@ def found(df, **options):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, **options).collect()), key=str)
 
 
-@pytest.mark.parametrize("small", [64, 1])
-def test_near_duplicates_equal_brute_force(spark, rng, small):
+def test_near_duplicates_equal_brute_force(spark, rng):
     base = [invented(rng, n).split() for n in (6, 12, 30, 80, 200)]
     rows = []
     for k in range(150):
@@ -120,7 +119,36 @@ def test_near_duplicates_equal_brute_force(spark, rng, small):
     rows.append((900, "The Same passage of Words"))
     rows.append((901, "the same  passage\tof words"))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert found(df, words=2, small=small) == brute_components(rows, 2)
+    assert found(df, words=2) == brute_components(rows, 2)
+
+
+def test_copies_of_one_text_near_the_threshold_equal_brute_force(spark, rng):
+    """Many copies at all distances from one text, some of them copies of distant copies: the hub does not link them all."""
+    text = invented(rng, 90).split()
+    copies = [list(text)]
+    for _ in range(250):
+        w = list(text if rng.random() < 0.6 else rng.choice(copies))
+        for _ in range(rng.randint(0, 14)):
+            w[rng.randrange(len(w))] += rng.choice("xyz") + str(rng.randrange(40))
+        copies.append(w)
+    for percent in (60, 80, 90):
+        rows = [(k, " ".join(w)) for k, w in enumerate(copies)]
+        want = brute_components(rows, 2, percent)
+        assert len({c for *_, c in want}) > 3
+        assert found(spark.createDataFrame(rows, "doc_id long, text string"), words=2, percent=percent) == want
+
+
+def test_registers_of_unlike_sets_share_a_band(rng):
+    """Sets at exactly the threshold: how often no band of four registers is equal is near (1 - 0.8 ** 4) ** 32 for any size."""
+    import numpy as np
+
+    for n, m, both in ((4, 5, 4), (9, 9, 8), (45, 45, 40), (270, 270, 240), (2700, 2700, 2400)):
+        bands = []
+        for _ in range(300):
+            x = np.array([rng.getrandbits(64) for _ in range(n + m - both)], np.uint64)
+            a, b = (neardup.registers(np.sort(s)).view(np.int64) for s in (x[:n], x[-m:]))
+            bands.append(int((a == b).sum()))
+        assert min(bands) >= 1 and 10.5 < np.mean(bands) < 16 and np.var(bands) < 16
 
 
 def test_near_duplicate_edges(spark, edge_docs, no_docs):
