@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_license_scan": licenses.ORACLE, "op10_fingerprints": merkle.ORACLE}
+    return {"op5_url_filter": url_filter.ORACLE, "op7_license_scan": licenses.ORACLE, "op10_fingerprints": merkle.ORACLE}
