@@ -146,11 +146,12 @@ class Encoder:
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes of all ids: each token's place in the table is repeated over its length and counted up."""
-        begin = self._begin[ids]
-        size = self._begin[ids.astype(np.int64) + 1] - begin
-        ends = np.cumsum(size)
         if not len(ids):
             return b""
+        ids = ids.astype(np.int64)
+        begin = self._begin[ids]
+        size = self._begin[ids + 1] - begin
+        ends = np.cumsum(size)
         where = np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)
         return self._blob[where].tobytes()
 
