@@ -8,7 +8,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 
 from attestra.llm import bpe, packing, tokens, unigram
 
-SIGNS = "aabbcde  \n\t'stre.,!?0123éñß漢字😀​ \x1c\x85"
+SIGNS = "aabbcde  \n\t'stre.,!?0123éñß漢字😀​ \x1c\x85▁"
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,22 @@ def test_every_character_is_split_as_the_library_splits_it(reference):
         assert mine.encode(x).tolist() == e.ids and fast(x).tolist() == e.ids
 
 
+def test_very_long_runs(spark, reference, monkeypatch):
+    """A million spaces go through; where the library can do it, parts encoded apart equal the whole."""
+    path = tokens.default_vocabulary()
+    fast, mine = tokens.fast_encoder(path), bpe.encoder(path)
+    for run in (" " * 1_000_000, "\n" * 1_000_000, "a" * 300_000, "!" * 300_000, "1" * 300_000, " a" * 300_000):
+        for t in (run, run + "x", "y" + run, f"y{run}<|endoftext|>{run}z"):
+            assert fast(t).tolist() == mine.encode(t).tolist()
+    docs = spark.createDataFrame([(1, " " * 1_000_000 + "x"), (2, "a")], "doc_id long, text string")
+    assert {r.doc_id for r in packing.pack(docs, keep_ids=False).collect()} == {1, 2}
+    assert bpe.round_trip_digests(docs).where("doc_id = 1").first().n_tokens == len(mine.encode(" " * 1_000_000 + "x"))
+    monkeypatch.setattr(tokens, "LONG_TEXT", 0)
+    monkeypatch.setattr(tokens, "LONG_RUN", 2)
+    for t in ("", "  ", "a  b", "a \n b\n\n", "x   <|endoftext|>   y", "  <|endoftext|>", "a\t\t\tb  <|endo", " \x1c\x85 1 ", "'s  's   !"):
+        assert fast(t).tolist() == reference.encode(t, add_special_tokens=False).ids, t
+
+
 def test_bpe_edges(spark, edge_docs, no_docs, reference):
     got = bpe.round_trip_digests(edge_docs).collect()
     want = []
@@ -59,14 +75,16 @@ def test_unigram_counts_equal_the_library(rng, edge_docs, no_docs):
     lib.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always")
     c = unigram.Counter(pieces)
     for t in texts(rng):
-        if "▁" not in t:
-            assert c.count(t)[1] == len(lib.encode(t).tokens), t
+        assert c.count(t)[1] == len(lib.encode(t).tokens), t
+    for _ in range(1500):
+        t = "".join(rng.choice("ab the ▁ ▁▁.é漢") for _ in range(rng.randint(0, 14)))
+        assert c.count(t)[1] == len(lib.encode(t).tokens), t
     small = [("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁", -1.0), ("▁a", -2.0), ("aba", -3.0)]  # ties
     lib = Tokenizer(models.Unigram([("<unk>", 0.0), *small], 0, False))
     lib.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always")
     c = unigram.Counter(small)
     for _ in range(500):
-        t = "".join(rng.choice("aabbc ") for _ in range(rng.randint(1, 12)))
+        t = "".join(rng.choice("aabbc ▁") for _ in range(rng.randint(1, 12)))
         assert c.count(t)[1] == len(lib.encode(t).tokens), t
     got = {(r.doc_id, r.n_tokens) for r in unigram.count_tokens(edge_docs).collect()}
     assert (1, 0) in got and (2, 0) in got and unigram.count_tokens(no_docs).count() == 0
