@@ -15,7 +15,7 @@ import functools
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +98,7 @@ def raw_score(text: str, weights: np.ndarray, bias: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, total))))
 
 
-def train(examples: list[tuple[str, int]], bits: int = BITS, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def train(examples: Iterable[tuple[str, int]], bits: int = BITS, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """FTRL-proximal weights and bias; all zero without examples."""
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
@@ -140,21 +140,21 @@ def fold(id_: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> tuple[bytes, float]:
     """Weights and bias learned from at most `rows` labelled rows outside the held-out third.
 
-    Ids with a null or contradictory label are left out; an id that several rows have gives as many examples; without any
-    example the weights are zero and every score is 0.5.
+    Ids with a null or contradictory label are left out; an id that several rows have gives as many examples, but there are
+    never more than `rows` in all; very long texts are taken whole; without any example the weights are zero and every score
+    is 0.5.
     """
     common.ship(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)").where(fold(F.col("id")) != 1)
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("id", "y")
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(rows)
     sample = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    ordered = sample.select("y", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("id", "text").alias("k")).repartition(1).sortWithinPartitions("k", "text", "y")
+    keyed = sample.select("y", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("id", "text").alias("k"))
+    # Ids are bounded, their rows are not: each partition keeps no more than `rows` before all go to one task.
+    ordered = keyed.orderBy("k", "text", "y").limit(rows).repartition(1).sortWithinPartitions("k", "text", "y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = []
-        for batch in batches:
-            examples += zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True)
-        weights, bias = train(examples)
+        weights, bias = train((text.as_py(), label.as_py()) for batch in batches for text, label in zip(batch.column(1), batch.column(0), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(weights.tobytes())], pa.binary()), pa.array([bias], pa.float64())], ["weights", "bias"])
 
     found = ordered.mapInArrow(learn, "weights binary, bias double").collect()
@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", t
     """doc_id, score of every row; with keep, all columns of docs and then the score, under the given name.
 
     A null or empty text, or one without words, gets the score of the bias alone; a null id is carried, repeated rows get
-    equal scores, an empty table gives no rows; a column that has the score's name already is refused where all are kept.
+    equal scores, very long texts are scored whole, an empty table gives no rows; a column that has the score's name already is refused where all are kept.
     """
     common.ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)

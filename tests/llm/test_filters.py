@@ -1,12 +1,16 @@
 import hashlib
+import math
 import zlib
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from attestra.llm import licenses, merkle, quality, url_filter
 
+from .conftest import invented
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -21,6 +25,52 @@ def test_quality_on_held_out_labels(spark):
     assert sum((s >= 0.5) == y for s, y in held) / len(held) > 0.9
 
 
+def slow_model(examples):
+    """The same learner written out: a dictionary of weights, one coordinate at a time."""
+    z, n = {}, {}
+
+    def vector(text):
+        x = {-1: 1.0}
+        for family in quality.features(text):
+            for i in family.tolist():
+                x[i] = x.get(i, 0.0) + 1 / len(family)
+        return x
+
+    def weight(i):
+        zi, l1 = z.get(i, 0.0), 0.0 if i == -1 else quality.L1
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((quality.BETA + math.sqrt(n.get(i, 0.0))) / quality.ALPHA + quality.L2)
+
+    rows = [(vector(t), y) for t, y in examples]
+    for _ in range(quality.EPOCHS):
+        for x, y in rows:
+            w = {i: weight(i) for i in x}
+            g = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - y
+            for i, v in x.items():
+                old = n.get(i, 0.0)
+                n[i] = old + (g * v) ** 2
+                z[i] = z.get(i, 0.0) + g * v - (math.sqrt(n[i]) - math.sqrt(old)) / quality.ALPHA * w[i]
+    return lambda text: 1 / (1 + math.exp(-sum(weight(i) * v for i, v in vector(text).items())))
+
+
+def test_training_and_scores_equal_a_plain_version(spark, rng):
+    texts = [invented(rng, rng.randint(0, 40)) + rng.choice(["", "!!!", "\n\nBuy $$$ now"]) for _ in range(120)]
+    examples = [(t, int("$" not in t)) for t in texts]
+    weights, bias = quality.train(iter(examples))
+    slow = slow_model(examples)
+    for t in [*texts, "", "unseen words only"]:
+        assert quality.raw_score(t, weights, bias) == pytest.approx(slow(t), abs=1e-5)
+    docs = spark.createDataFrame([(k % 5, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5)], "doc_id long, quality int")
+    few = quality.fit(docs, labels, rows=7)  # ids repeat: rows are bounded, not ids
+    used = [(r.text, r.y) for r in docs.join(labels.selectExpr("doc_id", "quality AS y"), "doc_id").where(quality.fold(F.col("doc_id")) != 1).withColumn("k", F.xxhash64("doc_id", "text")).orderBy("k", "text", "y").limit(7).collect()]
+    slow = slow_model(used)
+    for r in quality.score(docs.withColumn("doc_id", F.monotonically_increasing_id()), few).limit(20).collect():
+        assert 0 <= r.score <= 1
+    packed, bias = few
+    weights = np.frombuffer(zlib.decompress(packed), np.float32)
+    assert all(quality.raw_score(t, weights, bias) == pytest.approx(slow(t), abs=1e-5) for t in texts)
+
+
 def test_shape_sees_the_whole_word():
     assert quality.shape("Thnd***") == "Aa*"
     for n in (30, 300, 30_000):  # beyond 24 signs and beyond 256 characters
