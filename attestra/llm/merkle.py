@@ -18,7 +18,7 @@ from . import common
 PARAGRAPH = r"([^.!?]{1,64}[.!?]*[ \t\r]*|[.!?]+[ \t\r]*)"
 _CUT = "\x01"
 #: Digest of an empty paragraph, which says nothing about likeness.
-_EMPTY = "d41d8cd9"
+_EMPTY = "d41d8cd98f00b204"
 
 
 def _tree(text: Column) -> Column:
@@ -27,14 +27,14 @@ def _tree(text: Column) -> Column:
     def section(line: Column) -> Column:
         cut = F.regexp_replace(line, PARAGRAPH, "$1" + _CUT)
         leaves = F.transform(F.split(F.substring(cut, F.lit(1), F.greatest(F.length(cut) - 1, F.lit(0))), _CUT, -1), lambda p: F.md5(p))
-        return F.struct(F.md5(F.array_join(leaves, "")).alias("digest"), F.transform(leaves, lambda d: F.substring(d, 1, 8)).alias("leaves"))
+        return F.struct(F.md5(F.array_join(leaves, "")).alias("digest"), F.transform(leaves, lambda d: F.substring(d, 1, 16)).alias("leaves"))
 
     return F.transform(F.split(text, "\n", -1), section)
 
 
 def _fingerprint(tree: Column) -> Column:
     root = F.sha2(F.array_join(F.transform(tree, lambda s: s["digest"]), ""), 256)
-    return F.concat(root, F.lit(":"), F.array_join(F.transform(tree, lambda s: F.concat(F.substring(s["digest"], 1, 8), F.lit("="), F.array_join(s["leaves"], "."))), ";"))
+    return F.concat(root, F.lit(":"), F.array_join(F.transform(tree, lambda s: F.concat(F.substring(s["digest"], 1, 16), F.lit("="), F.array_join(s["leaves"], "."))), ";"))
 
 
 def add_fingerprint(df: DataFrame, text: Column, fingerprint: str, leaves: str) -> DataFrame:
@@ -103,7 +103,13 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_with_edit(docs: DataFrame) -> DataFrame:
-    """Fingerprints of (doc_id, text), of each text with its last half replaced from the next one, and their likeness."""
+    """Fingerprints of (doc_id, text), of each text with its last half replaced from the next one, and their likeness.
+
+    A null text counts as empty, a null id comes first in the order, rows of one id are ordered by text (equal rows follow
+    each other), a single row is its own next, an empty table gives no rows, very long texts are taken whole. Sections and
+    paragraphs are compared by 64 bits of their digests, whole texts by the root's 256.
+    """
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     half = F.floor(F.length("text") / 2).cast("int")
     head = lambda c, n: F.substring(c, F.lit(1), n)
     df = with_next(docs).withColumn("edited", F.concat(head(F.col("text"), F.length("text") - half), head(F.col("next_text"), half)))
@@ -121,10 +127,10 @@ def _tree_sql(text: str) -> str:
     pattern = PARAGRAPH.replace("'", "''")
     cut = f"regexp_replace(line, '{pattern}', '\\1' || chr(1), 'g')"
     leaves = f"list_transform(string_split(substring({cut}, 1, greatest(length({cut}) - 1, 0)), chr(1)), lambda p: md5(p))"
-    return f"list_transform(list_transform(string_split({text}, chr(10)), lambda line: {leaves}), lambda x: {{'digest': md5(array_to_string(x, '')), 'leaves': list_transform(x, lambda d: substring(d, 1, 8))}})"
+    return f"list_transform(list_transform(string_split({text}, chr(10)), lambda line: {leaves}), lambda x: {{'digest': md5(array_to_string(x, '')), 'leaves': list_transform(x, lambda d: substring(d, 1, 16))}})"
 
 
-_FINGERPRINT_SQL = "sha256(array_to_string(list_transform({t}, lambda s: s.digest), '')) || ':' || array_to_string(list_transform({t}, lambda s: substring(s.digest, 1, 8) || '=' || array_to_string(s.leaves, '.')), ';')"
+_FINGERPRINT_SQL = "sha256(array_to_string(list_transform({t}, lambda s: s.digest), '')) || ':' || array_to_string(list_transform({t}, lambda s: substring(s.digest, 1, 16) || '=' || array_to_string(s.leaves, '.')), ';')"
 _LEAVES_SQL = "list_distinct(list_filter(flatten(list_transform({t}, lambda s: s.leaves)), lambda x: x <> '" + _EMPTY + "'))"
 _LIKENESS_SQL = "CASE WHEN substring({f}, 1, 64) = substring({g}, 1, 64) THEN 1.0::DOUBLE WHEN len({x}) + len({y}) > 0 THEN round(2.0::DOUBLE * len(list_intersect({x}, {y})) / (len({x}) + len({y})), 9) ELSE 0.0::DOUBLE END"
 
