@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from . import common
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that only states copyright.
-COPYRIGHT_LINE = r"\n[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: A line that only states copyright: the word with a year, sign, name mark or placeholder behind it, or a sign or reservation first.
+COPYRIGHT_LINE = r"\n[ \t]*(?:copyright[ \t]*(?:[:<\[{]|\(c\)|©|by |[12][0-9][0-9][0-9]|[^\n]* (?:\(c\)|©|[12][0-9][0-9][0-9]))|\(c\)|©|all rights reserved)[^\n]*"
+#: A first line that names a licence and is no sentence.
+TITLE = r"^\s*[^\n.;,]{0,60}\blicen[sc]e\b[^\n.;,]{0,40}\n"
 #: What separates words: ASCII white space, control characters and punctuation, and typographic marks.
 BETWEEN = r"[\x00-\x2f\x3a-\x60\x7b-\x7f“”‘’«»–—…•·©]+"
 #: Equivalent spellings (fixed values, after the matching guidelines for licence lists).
@@ -51,32 +53,37 @@ KNOWN = {
 }
 #: SHA-256 of the canonical form of whole licence texts as published, with titles and appendices (fixed values).
 WHOLE = {
-    "Apache-2.0": "69a51938c7bc3c6ce9082ac0a28a35902fc58dbb5eb1b5cc986220794fda9118",
-    "Artistic-1.0-Perl": "cc2cd6cccfacd5fb622fb0e9b9a373fa9dcb86a8c152213a2b856dfbe24fe304",
+    "Apache-2.0": "2e160e5652ce5a1f586de36d7986bcb913eddac7957af216c0d8f809113d4a8d",
+    "Artistic-1.0-Perl": "4eaaa9e33aeef0af0ff83ab5edac0ad421a1da9cc861c564630460107b4b772c",
     "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
-    "GFDL-1.2": "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86",
-    "GFDL-1.3": "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb",
-    "GPL-1.0": "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224",
-    "GPL-2.0": "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1",
-    "GPL-3.0": "f3ab5ee40da170411ea6671f9845ada2aaba303ee57ba6086b373d1e66c9dc3f",
-    "LGPL-2.0": "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3",
-    "LGPL-2.1": "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345",
-    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
-    "MPL-1.1": "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354",
+    "GFDL-1.2": "16018093d4eae05ac163ded9a99e3cee0c34973aff5e3ed77adfc4da5f190986",
+    "GFDL-1.3": "24483827fdcab070dc64c6a0befe6fe64bdb823b040af911820bc5b81121dfe3",
+    "GPL-1.0": "9132a605811c9f9a51621da0e0708f46e408e3507a3c1a9d16a5f48291082b8c",
+    "GPL-2.0": "29507662ad31f55a5ac02f26a5d8cca21add440b2dff4a9ce97e458a0ca43f7f",
+    "GPL-3.0": "25c090443e3540e3493172ea88c9181108effea290e12e68da7dcd1c51b4cd7a",
+    "LGPL-2.0": "f17ebefdba4ae01060494f3396c1bc854578b6eaafaa6fe8abcf7a94e7fc2a6e",
+    "LGPL-2.1": "50866b22e296e073a398813dc84c4c9dec94ed1ee7d617c063eb6851a562b9d4",
+    "LGPL-3.0": "e1c7b25e9116bcad127297bbfb82e6a89822822ba6bfa3af9eae995aad877765",
+    "MPL-1.1": "64a49d83bd8fd7a03e3441cca62f1c189748f458c0dcc541f24fe62524b4d833",
     "MPL-2.0": "3dacd2c104719e7227969cbdcc7d581518827199e830b9379627eec0a32f8ab7",
 }
 #: More known texts than this are joined by a shuffle instead of a broadcast.
 BROADCAST_ROWS = 10_000
 
 
+def _spaced(words: str) -> str:
+    return " " + words.replace(" ", "  ") + " "
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text; empty for null and for texts that only state copyright."""
     t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    t = F.regexp_replace(F.concat(F.lit("\n"), t), COPYRIGHT_LINE, "\n")
-    t = F.concat(F.lit(" "), F.regexp_replace(t, BETWEEN, " "), F.lit(" "))
+    t = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), t), COPYRIGHT_LINE, "\n"), TITLE, "\n")
+    # Two spaces between words: each word has its own on both sides, so neighbours are replaced alike.
+    t = F.concat(F.lit(" "), F.regexp_replace(t, BETWEEN, "  "), F.lit(" "))
     for other, usual in SPELLINGS.items():
-        t = F.replace(t, F.lit(f" {other} "), F.lit(f" {usual} "))
-    return F.trim(t)
+        t = F.replace(t, F.lit(_spaced(other)), F.lit(_spaced(usual)))
+    return F.trim(F.replace(t, F.lit("  "), F.lit(" ")))
 
 
 def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
@@ -111,15 +118,39 @@ def _quoted(s: str) -> str:
 
 def _canonical_sql(text: str) -> str:
     t = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
-    t = f"regexp_replace(chr(10) || {t}, '{COPYRIGHT_LINE}', chr(10), 'g')"
-    t = f"' ' || regexp_replace({t}, '{BETWEEN}', ' ', 'g') || ' '"
+    t = f"regexp_replace(regexp_replace(chr(10) || {t}, '{COPYRIGHT_LINE}', chr(10), 'g'), '{TITLE}', chr(10))"
+    t = f"' ' || regexp_replace({t}, '{BETWEEN}', '  ', 'g') || ' '"
     for other, usual in SPELLINGS.items():
-        t = f"replace({t}, ' {other} ', ' {usual} ')"
-    return f"trim({t})"
+        t = f"replace({t}, '{_spaced(other)}', '{_spaced(usual)}')"
+    return f"trim(replace({t}, '  ', ' '))"
 
 
+_KNOWN_SQL = f"""k AS (SELECT min(id) AS license_id, digest FROM (SELECT id, sha256({_canonical_sql('t')}) AS digest FROM (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in KNOWN.items())}) AS v(id, t)
+  UNION ALL VALUES {', '.join(f"('{k}', '{v}')" for k, v in WHOLE.items())}) GROUP BY digest)"""
+
 ORACLE = f"""
-WITH k AS (SELECT min(id) AS license_id, sha256(c) AS digest FROM (SELECT id, {_canonical_sql('t')} AS c FROM (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in KNOWN.items())}) AS v(id, t)) GROUP BY c),
+WITH {_KNOWN_SQL},
 d AS (SELECT doc_id, {_canonical_sql('text')} AS c FROM documents)
 SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(length(c) AS BIGINT) AS n_canonical, sha256(c) AS canonical_sha256, license_id
 FROM d LEFT JOIN k ON sha256(c) = digest AND length(c) > 0"""
+
+#: Ways in which a licence file differs from the text as published: {0} stands for the text.
+FORMS = ("{0}", "MIT License\n\nCopyright (c) 2020 Somebody\n\n{0}", "The licence\n\n© 2021, 2022 A. Person. All rights reserved.\n{0}\n", "  {0} \n\nCopyright <YEAR> <HOLDER>")
+
+
+def known_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan of every known text in each of FORMS, upper-cased and with a line for each word too, and of all documents' first lines."""
+    texts = spark.createDataFrame(list(KNOWN.items()), "name string, t string")
+    forms = texts.select(F.explode(F.array(*[F.replace(F.lit(f), F.lit("{0}"), F.col("t")) for f in FORMS], F.upper("t"), F.replace(F.col("t"), F.lit(" "), F.lit("\n")))).alias("text"))
+    lines = common.table(spark, sf_dir, "documents").select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("text"))
+    found = scan(forms.unionByName(lines).withColumn("doc_id", F.lit(0)))
+    return found.groupBy("license_id").agg(F.count("*").alias("n_texts"), F.countDistinct("canonical_sha256").alias("n_forms"))
+
+
+FORMS_ORACLE = f"""
+WITH {_KNOWN_SQL},
+t AS (SELECT * FROM (VALUES {', '.join(f'({_quoted(v)})' for v in KNOWN.values())}) AS v(t)),
+f AS ({' UNION ALL '.join(f"SELECT replace({_quoted(x)}, '{{0}}', t) AS text FROM t" for x in FORMS)} UNION ALL SELECT upper(t) FROM t UNION ALL SELECT replace(t, ' ', chr(10)) FROM t
+  UNION ALL SELECT unnest(string_split(coalesce(text, ''), chr(10))) FROM documents),
+c AS (SELECT {_canonical_sql('text')} AS c FROM f)
+SELECT license_id, count(*) AS n_texts, count(DISTINCT sha256(c)) AS n_forms FROM c LEFT JOIN k ON sha256(c) = digest AND length(c) > 0 GROUP BY license_id"""

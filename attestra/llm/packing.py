@@ -133,7 +133,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
     A null text counts as empty (only its end token is packed), a null id is carried along, repeated rows are packed once
     each, an empty table gives no rows, other columns are ignored. prompt_col counts an example's leading tokens that bear
     no loss; with max_loss they let instruction data be limited by loss-bearing tokens too. Very long texts are cut into
-    whole sequences first. Sequence ids are unique, not consecutive.
+    whole sequences first, runs of white space of any length included. Of items with equal dot products the first in the
+    window goes first. Sequence ids are unique, not consecutive.
     """
     common.ship(docs.sparkSession)
     path = vocabulary or tokens.default_vocabulary()
@@ -145,3 +146,15 @@ def pack(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(common.table(spark, sf_dir, "documents"), keep_ids=False)
+
+
+def pack_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of all conversations packed as instruction data: only the assistant's tokens bear loss, half a sequence at most.
+
+    A turn is an example of its own, so a conversation of any length is never gathered. doc_id is the conversation's id
+    times 2 ** 20 plus the turn.
+    """
+    turns = common.table(spark, sf_dir, "conversations")
+    prompt = F.when(F.col("role") == "assistant", F.lit(0)).otherwise(F.lit((1 << 31) - 1))
+    named = turns.select((F.col("conv_id") * (1 << 20) + F.col("turn")).alias("doc_id"), "text", prompt.alias("prompt"))
+    return pack(named, prompt_col="prompt", keep_ids=False, max_loss=MAX_TOKENS // 2)

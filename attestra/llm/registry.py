@@ -14,11 +14,13 @@ def queries() -> dict:
         "op5_url_filter": url_filter.op5_url_filter,
         "op6_token_counts": unigram.op6_token_counts,
         "op7_license_scan": licenses.op7_license_scan,
+        "license_forms": licenses.known_forms,
         "op8_packing": packing.op8_packing,
+        "pack_turns": packing.pack_turns,
         "op9_near_duplicates": neardup.op9_near_duplicates,
         "op10_fingerprints": merkle.op10_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": url_filter.ORACLE, "op7_license_scan": licenses.ORACLE, "op10_fingerprints": merkle.ORACLE}
+    return {"op5_url_filter": url_filter.ORACLE, "op7_license_scan": licenses.ORACLE, "license_forms": licenses.FORMS_ORACLE, "op10_fingerprints": merkle.ORACLE}

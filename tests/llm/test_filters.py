@@ -142,6 +142,9 @@ def test_licenses(spark, edge_docs, no_docs):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.license_id for r in licenses.scan(df).collect()}
     assert got == {0: "MIT", 1: "MIT", 2: "MIT", 3: None, 4: "0BSD", 5: "BSD-3-Clause", 6: None}
+    wrapped = ["MIT License\n\nCopyright (c) 2020 A\n\n" + mit.replace("The above copyright notice", "The above\ncopyright notice"), "The MIT License (MIT)\nCopyright © 2020 B\nAll rights reserved.\n" + mit.replace(" ", "\n"), "licence licence licence", "license license license", "MIT License"]
+    forms = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(wrapped)), "doc_id long, text string")).collect()}
+    assert forms[0].license_id == forms[1].license_id == "MIT" and forms[2].canonical_sha256 == forms[3].canonical_sha256 and forms[4].license_id is None
     rows = licenses.scan(edge_docs).collect()
     assert len(rows) == edge_docs.count() and not any(r.license_id for r in rows)
     assert licenses.scan(no_docs).count() == 0

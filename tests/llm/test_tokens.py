@@ -147,3 +147,15 @@ def test_packing_keeps_all_limits(rng):
             assert sorted(x for o, _, i, *_ in out if o == k for x in i.tolist()) == ids.tolist()
     with pytest.raises(ValueError):
         packing.Packer(print, 0, max_tokens=0)
+
+
+def test_turns_are_packed_under_a_loss_limit(spark):
+    sf = "/root/testdata/sf0.001"
+    turns = {r.conv_id * (1 << 20) + r.turn: r for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()}
+    rows = packing.pack_turns(spark, sf).collect()
+    tokens_in, loss, whole = {}, {}, {}
+    for r in rows:
+        tokens_in[r.sequence_id] = tokens_in.get(r.sequence_id, 0) + r.length
+        loss[r.sequence_id] = loss.get(r.sequence_id, 0) + r.length * (turns[r.doc_id].role == "assistant")
+        whole[r.doc_id] = whole.get(r.doc_id, 0) + r.length
+    assert set(whole) == set(turns) and max(tokens_in.values()) <= 1024 and 256 < max(loss.values()) <= 512
