@@ -1,8 +1,9 @@
 """Media columns in Ogg: a writer and a reader of multiplexed pages.
 
-The writer stores a payload as 8-bit samples, one packet for each 576 samples, in a logical stream whose first packet
-describes the samples. The reader verifies every page's checksum, reassembles packets from lacing values, separates the
-logical streams by serial number and derives times from granule positions.
+The writer stores a payload as 8-bit samples of two channels in turn. Each channel is a logical stream whose first packet
+describes the samples; the pages of both take turns, and a packet that does not fit in a page goes on in the next one. The
+reader verifies every page's checksum, reassembles packets from lacing values, separates the logical streams by serial
+number, derives times from granule positions and joins the channels that cover the same time.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from pyspark.sql import types as T
 
 from . import common
 
-FRAME, RATE = 576, 8000
+FRAME, RATE, CHANNELS = 576, 8000, 2
+#: Lacing values in a page; about 4 kB, as is usual.
+PAGE_LACINGS = 17
 #: Fixed values of the container: capture pattern, header flags, largest number of lacing values in a page.
 CAPTURE, CONTINUED, FIRST, LAST, LACINGS = b"OggS", 1, 2, 4, 255
-MAGIC = b"PCM8\x01\x00"
+MAGIC = b"PCM8\x02\x00"
 _MIRROR = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 
 
@@ -40,25 +43,33 @@ def page(flags: int, granule: int, serial: int, number: int, lacing: bytes, body
     return head[:22] + struct.pack("<I", checksum(head + body)) + head[26:] + body
 
 
-def write_stream(payload: bytes, rate: int = RATE, frame: int = FRAME, serial: int | None = None) -> list[bytes]:
+def write_stream(payload: bytes, rate: int = RATE, frame: int = FRAME, serial: int | None = None, channel: int = 0, channels: int = 1, lacings: int = PAGE_LACINGS) -> list[bytes]:
     """The pages of one logical stream of 8-bit samples; the serial number follows from the payload unless given."""
     serial = zlib.crc32(payload) if serial is None else serial
-    first = MAGIC + struct.pack("<IIQ", rate, frame, len(payload))
+    first = MAGIC + struct.pack("<IIQBB", rate, frame, len(payload), channel, channels)
     pages = [page(FIRST, 0, serial, 0, bytes([len(first)]), first)]
-    per_packet = bytes([255] * (frame // 255) + [frame % 255])
-    per_page = max(1, LACINGS // len(per_packet))
-    step = per_page * frame
-    for at in range(0, len(payload), step):
-        body = payload[at : at + step]
-        whole, rest = divmod(len(body), frame)
-        lacing = per_packet * whole + (bytes([255] * (rest // 255) + [rest % 255]) if rest else b"")
-        end = at + len(body)
-        pages.append(page(LAST * (end == len(payload)), end, serial, len(pages), lacing, body))
+    whole, rest = divmod(len(payload), frame)
+    every = bytes([255] * (frame // 255) + [frame % 255]) * whole + (bytes([255] * (rest // 255) + [rest % 255]) if rest else b"")
+    at = done = 0
+    for k in range(0, len(every), lacings):
+        lacing, flags = every[k : k + lacings], CONTINUED * (k > 0 and every[k - 1] == 255)
+        closed = len(lacing) - lacing.count(255)  # packets that end in this page
+        done += closed
+        size = sum(lacing)
+        flags |= LAST * (k + lacings >= len(every))
+        pages.append(page(flags, min(done * frame, len(payload)) if closed else -1, serial, len(pages), lacing, payload[at : at + size]))
+        at += size
     if len(pages) == 1:
         pages.append(page(LAST, 0, serial, 1, b"", b""))
     return pages
 
 
+def write_channels(payload: bytes, channels: int = CHANNELS, frame: int = FRAME) -> bytes:
+    """A file of one logical stream for each channel; sample k belongs to channel k modulo their number."""
+    serial = zlib.crc32(payload)
+    return multiplex(*(write_stream(payload[c::channels], frame=frame // channels, serial=(serial + c) & 0xFFFFFFFF, channel=c, channels=channels) for c in range(channels)))
+
+
 def multiplex(*streams: list[bytes]) -> bytes:
     """Interleave the pages of logical streams: all first pages, then the others in turn."""
     out = [s[0] for s in streams if s]
@@ -141,7 +152,7 @@ def read_samples(data: bytes) -> list[dict]:
         first = s["packets"][0]
         if not first.startswith(MAGIC):
             continue
-        rate, frame, total = struct.unpack_from("<IIQ", first, len(MAGIC))
+        rate, frame, total, channel, channels = struct.unpack_from("<IIQBB", first, len(MAGIC))
         packets = s["packets"][1:]
         sizes = np.array([len(p) for p in packets], np.int64)
         ends = packet_ends(sizes, s["granules"][1:])
@@ -151,16 +162,33 @@ def read_samples(data: bytes) -> list[dict]:
         payload = b"".join(packets)
         if len(payload) != total:
             raise ValueError(f"stream {serial} has {len(payload)} of {total} samples")
-        out.append({"serial": serial, "rate": rate, "frame": frame, "payload": payload, "sizes": sizes, "begin": begin, "starts": begin / rate, "pages": s["pages"]})
+        out.append({"serial": serial, "rate": rate, "frame": frame, "payload": payload, "sizes": sizes, "begin": begin, "starts": begin / rate, "pages": s["pages"], "channel": channel, "channels": channels})
     return out
 
 
-def describe(payload: bytes, rate: int, pages: int, sizes: np.ndarray, begin: np.ndarray, frame: int = FRAME) -> str:
-    """Duration, pages, mean level, loudest frame and sign changes of 8-bit samples; times follow the packets' positions."""
+def join_channels(streams: list[dict]) -> dict:
+    """The streams of one file as one: payload with the channels' samples in turn, their common times, pages of all."""
+    if not streams:
+        raise ValueError("no sample stream")
+    first, *others = streams = sorted(streams, key=lambda s: s["channel"])
+    if [s["channel"] for s in streams] != list(range(first["channels"])):
+        raise ValueError(f"channels {[s['channel'] for s in streams]} of {first['channels']}")
+    for s in others:
+        if s["rate"] != first["rate"] or not np.array_equal(s["begin"], first["begin"]) or not np.array_equal(s["sizes"], first["sizes"]):
+            raise ValueError(f"channel {s['channel']} covers other times than channel 0")
+    payload = np.stack([np.frombuffer(s["payload"], np.uint8) for s in streams], axis=1).tobytes()
+    return first | {"payload": payload, "pages": sum(s["pages"] for s in streams)}
+
+
+def describe(payload: bytes, rate: int, pages: int, sizes: np.ndarray, begin: np.ndarray, frame: int = FRAME, channels: int = 1) -> str:
+    """Duration, pages, mean level, loudest frame and sign changes of 8-bit samples; times follow the packets' positions.
+
+    sizes, begin and frame are those of one channel's packets; of equally loud frames the first counts.
+    """
     if not payload:
         return f"dur=0.000;pages={pages};mean=0.0000;peak=0@0.000;zc=0"
     x = np.frombuffer(payload, np.uint8)
-    sums = np.add.reduceat(x.astype(np.uint32), np.arange(0, len(x), frame))
+    sums = np.add.reduceat(x.astype(np.uint32), np.arange(0, len(x), frame * channels))
     loud = int(sums.argmax())
     over = x >= 128
     offsets = np.cumsum(sizes) - sizes
@@ -171,10 +199,10 @@ def describe(payload: bytes, rate: int, pages: int, sizes: np.ndarray, begin: np
 
 
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, media: the text's bytes as a one-stream Ogg file, filled with bytes 255 to a multiple of 576.
+    """doc_id, n_bytes, media: the text's bytes as an Ogg file of two channels, filled with bytes 255 to a multiple of 576.
 
     A null text counts as empty (one frame of bytes 255); a null id is carried; repeated rows give equal files; an empty
-    table gives no rows; other columns are ignored.
+    table gives no rows; other columns are ignored; very long texts have as many pages as they need.
     """
     common.ship(docs.sparkSession)
 
@@ -187,16 +215,18 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     raw = (text.as_py() or "").encode()
                     sizes.append(len(raw))
                     raw += b"\xff" * (max(FRAME, -(-len(raw) // FRAME) * FRAME) - len(raw))
-                    media.append(multiplex(write_stream(raw)))
+                    media.append(write_channels(raw))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def decode_media(files: DataFrame, media_col: str = "media") -> DataFrame:
-    """The input's columns, then payload (first stream of each file), feature and error.
+    """The input's columns, then payload (all channels of each file), feature and error.
 
-    A null or damaged file gives a null payload and the reason in error, so one bad file does not stop a job.
+    A null or damaged file gives a null payload and the reason in error, so one bad file does not stop a job. Repeated
+    rows are read alike, an empty table gives no rows, a file is read whole, however long; columns of the added names are
+    refused.
     """
     common.ship(files.sparkSession)
     names, schema = files.columns, files.schema
@@ -211,12 +241,9 @@ def decode_media(files: DataFrame, media_col: str = "media") -> DataFrame:
                 try:
                     if not x.is_valid:
                         raise ValueError("no file")
-                    streams = read_samples(x.as_py())
-                    if not streams:
-                        raise ValueError("no sample stream")
-                    s = streams[0]
+                    s = join_channels(read_samples(x.as_py()))
                     payloads.append(s["payload"])
-                    features.append(describe(s["payload"], s["rate"], s["pages"], s["sizes"], s["begin"], s["frame"]))
+                    features.append(describe(s["payload"], s["rate"], s["pages"], s["sizes"], s["begin"], s["frame"], s["channels"]))
                     errors.append(None)
                 except (ValueError, struct.error, IndexError) as e:
                     payloads.append(None)

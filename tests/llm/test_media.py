@@ -1,3 +1,5 @@
+import hashlib
+import struct
 import zlib
 
 import pytest
@@ -46,7 +48,7 @@ def test_times_follow_granule_positions(spark):
     loud = bytes([1]) * 1152 + bytes([255]) * 576
 
     def stream(*ends):
-        head = media.MAGIC + media.struct.pack("<IIQ", 8000, 576, 1728)
+        head = media.MAGIC + media.struct.pack("<IIQBB", 8000, 576, 1728, 0, 1)
         packet = bytes([255, 255, 66])
         bodies = [(packet * 2, loud[:1152]), (packet, loud[1152:])]
         pages = [media.page(media.FIRST, 0, 5, 0, bytes([len(head)]), head)]
@@ -76,10 +78,61 @@ def test_edges(spark, edge_docs, no_docs):
         media.decode_media(spark.createDataFrame([(1, b"", "x")], "doc_id long, media binary, error string"))
 
 
-def test_query(spark):
-    rows = media.op3_media(spark, "/root/testdata/sf0.001").collect()
-    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
-    assert len(rows) == len(texts)
-    for r in rows:
-        raw = texts[r.doc_id] + b"\xff" * (r.payload_bytes - len(texts[r.doc_id]))
-        assert r.n_bytes == len(texts[r.doc_id]) and r.payload_bytes % 576 == 0 and r.tail_crc32 == zlib.crc32(raw[-32:])
+def slow_file(payload):
+    """The stored form byte by byte: two channels, lacing values one at a time, bitwise checksums."""
+    serial, streams = zlib.crc32(payload), []
+    for c in (0, 1):
+        samples = bytes(b for k, b in enumerate(payload) if k % 2 == c)
+        cells = []  # (lacing value, bytes, whether a packet ends here)
+        for at in range(0, len(samples), 288):
+            packet = samples[at : at + 288]
+            while len(packet) >= 255:
+                cells.append((255, packet[:255], None))
+                packet = packet[255:]
+            cells.append((len(packet), packet, min(at + 288, len(samples))))
+        head = b"PCM8\x02\x00" + struct.pack("<IIQBB", 8000, 288, len(samples), c, 2)
+        pages = [(2, 0, [len(head)], head)]
+        for k in range(0, len(cells), 17):
+            part = cells[k : k + 17]
+            ends = [e for *_, e in part if e is not None]
+            pages.append(((1 if k and cells[k - 1][0] == 255 else 0) | (4 if k + 17 >= len(cells) else 0), ends[-1] if ends else -1, [n for n, *_ in part], b"".join(b for _, b, _ in part)))
+        out = []
+        for number, (flags, granule, lacing, body) in enumerate(pages):
+            raw = b"OggS" + struct.pack("<BBqIIIB", 0, flags, granule, (serial + c) % 2**32, number, 0, len(lacing)) + bytes(lacing) + body
+            out.append(raw[:22] + struct.pack("<I", slow_crc(raw)) + raw[26:])
+        streams.append(out)
+    return b"".join(x for pair in zip(*streams, strict=True) for x in pair), sum(map(len, streams))
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in media.op3_media(spark, sf).collect()}
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert set(rows) == set(texts)
+    several = 0
+    for i, raw in texts.items():
+        r = rows[i]
+        payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        if len(payload) > 12_000:  # the slow form takes its time
+            continue
+        data, pages = slow_file(payload)
+        several += pages > 4
+        assert (r.media_bytes, r.media_sha256) == (len(data), hashlib.sha256(data).hexdigest())
+        frames = [sum(payload[k : k + 576]) for k in range(0, len(payload), 576)]
+        loud = frames.index(max(frames))
+        changes = sum((a < 128) != (b < 128) for a, b in zip(payload, payload[1:], strict=False))
+        assert r.feature == f"dur={len(payload) / 2 / 8000:.3f};pages={pages};mean={sum(payload) / len(payload):.4f};peak={frames[loud]}@{loud * 288 / 8000:.3f};zc={changes}"
+    assert several > 5
+
+
+def test_channels_must_agree(rng):
+    payload = rng.randbytes(576 * 30)
+    joined = media.join_channels(media.read_samples(media.write_channels(payload)))
+    assert joined["payload"] == payload and joined["channels"] == 2
+    left, right = (media.write_stream(payload[c::2], frame=288, serial=c, channel=c, channels=2) for c in (0, 1))
+    short = media.write_stream(payload[1::2][:288], frame=288, serial=1, channel=1, channels=2)
+    assert media.join_channels(media.read_samples(media.multiplex(right, left)))["payload"] == payload
+    for bad in ([left], [left, short], [left, media.write_stream(payload[1::2], frame=288, serial=3, channel=0, channels=2)]):
+        with pytest.raises(ValueError):
+            media.join_channels(media.read_samples(media.multiplex(*bad)))
