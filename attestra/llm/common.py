@@ -38,6 +38,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def fresh(names: tuple[str, ...], taken: list[str]) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash with none that is taken."""
+    lower, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in lower:
+            name = "_" + name
+        out.append(name)
+        lower.add(name.lower())
+    return out
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: later stages restart from files, not from lineage."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"

@@ -214,9 +214,9 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text", id_col: str = "doc_id", shard_bytes: int = SHARD_BYTES, many: int = MANY) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): texts has doc_id, key, n_bytes, copies of every row, key being the SHA-256 of its text; spans has key and
-    spans (first and end byte of maximal repeated stretches) of the texts that have some and occur once.
+def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text", id_col: str = "doc_id", shard_bytes: int = SHARD_BYTES, many: int = MANY) -> DataFrame:
+    """key (SHA-256 of a text), copied, spans (first and end byte of maximal repeated stretches) of all texts that occur several
+    times (copied) or have such stretches; a table in the shared folder with one row for each text.
 
     A text that occurs several times is repeated as a whole if it has `length` bytes.
     """
@@ -249,13 +249,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     for family in range(1, len(_FAMILY) + 1):
         hot = common.cut(found.groupBy("route", "sid").count().groupBy("route").count().where(F.col("count") > many).select("route"), "repeats-hot")
         if hot.isEmpty():
+            common.drop(hot)
             break
         whole = found.groupBy("sid").agg(F.max("bytes").alias("all_bytes"))
         far = found.join(hot, "route", "left_semi").drop("bytes").join(whole.withColumnRenamed("all_bytes", "bytes"), "sid")
         split = common.cut(_split_again(far, length, family), "repeats-split")
         # As with route values, a value counts by places: a single run that has its least gram twice may repeat itself.
         twice = split.groupBy("route").agg(F.sum("times").alias("times")).where("times > 1").select("route")
-        found = common.cut(found.join(hot, "route", "left_anti").unionByName(split.drop("times").join(twice, "route", "left_semi")), "repeats-runs")
+        old, found = found, common.cut(found.join(hot, "route", "left_anti").unionByName(split.drop("times").join(twice, "route", "left_semi")), "repeats-runs")
+        for frame in (old, hot, split):
+            common.drop(frame)
     distinct = found.groupBy("sid").agg(F.first("route").alias("route"), F.max("bytes").alias("bytes"), F.count("*").alias("n"))
     marked = common.cut(_sorted_shards(distinct, length, shard_bytes).where(F.size("spans") > 0), "repeats-marked")
     once = texts.where("copies = 1").select("key")
@@ -267,36 +270,41 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
             lists = [[x for pair in merge(list(zip(s[::2], s[1::2], strict=True))) for x in pair] for s in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["key", "spans"])
 
-    spans = common.cut(spans.mapInArrow(merged, "key binary, spans array<int>"), "repeats-spans")
-    named = rows.select("doc_id", "key", "n_bytes").join(texts.select("key", "copies"), "key")
-    return named, spans
+    copied = texts.where("copies > 1").select("key", F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("spans"))
+    out = common.cut(copied.unionByName(spans.mapInArrow(merged, "key binary, spans array<int>").select("key", F.lit(False).alias("copied"), "spans")), "repeats-fate")
+    for frame in (rows, texts, found, marked):
+        common.drop(frame)
+    return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text", id_col: str = "doc_id", keep: bool = True, **options) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text", id_col: str = "doc_id", keep: bool = True, names: tuple[str, str, str] = ("n_bytes", "spans", "kept"), **options) -> DataFrame:
     """docs with the text's repeated bytes gone, and n_bytes, spans (removed stretches, first and end byte), kept (bytes).
 
     Every byte goes that a string of `length` bytes covers which also starts anywhere else in the table's texts, the same
     text included; strings are judged on the input and never cross texts. With keep all columns of docs stay, else only
     doc_id. A null text counts as empty; a null id is carried; repeated rows lose everything if they are long enough; an
-    empty table gives no rows; columns called n_bytes, spans or kept are refused where all are kept; very long texts are
-    hashed in chunks. What is left may begin or end within a character.
+    empty table gives no rows; the added columns have the given names, and are refused if docs has them already and all are
+    kept; very long texts are hashed in chunks. What is left may begin or end within a character.
     """
-    if keep and (clash := {"n_bytes", "spans", "kept", "__text", "__key", "__copied"} & set(docs.columns)):
+    size_name, spans_name, kept_name = names
+    if keep and (clash := set(names) & set(docs.columns)):
         raise ValueError(f"columns {sorted(clash)} exist already")
-    named, spans = repeated_spans(docs, length, text_col, id_col, **options)
+    fate = repeated_spans(docs, length, text_col, id_col, **options)
+    text_name, key_name = common.fresh(("__text", "__key"), [*docs.columns, *names])
     text = F.coalesce(F.col(text_col), F.lit(""))
-    full = docs.select(*([F.col(c) for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]), text.alias("__text"), F.unhex(F.sha2(text, 256)).alias("__key"))
-    copies = named.where("copies > 1").select(F.col("key").alias("__key"), F.lit(True).alias("__copied")).distinct()
-    joined = full.join(copies, "__key", "left").join(spans.select(F.col("key").alias("__key"), "spans"), "__key", "left")
-    size = F.octet_length("__text")
-    gone = F.when(F.col("__copied") & (size >= length), F.array(F.lit(0), size)).otherwise(F.coalesce("spans", F.array().cast("array<int>")))
-    whole = F.encode("__text", "UTF-8")
+    full = docs.select(*([F.col(c) for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]), text.alias(text_name), F.unhex(F.sha2(text, 256)).alias(key_name))
+    # One join of two written tables: a text with very many copies is a skewed key that adaptive execution can split.
+    told = fate.select(F.col("key").alias(key_name), F.struct("copied", "spans").alias(spans_name))
+    joined = full.join(told, key_name, "left")
+    size, found = F.octet_length(text_name), F.col(spans_name)
+    gone = F.when(found["copied"] & (size >= length), F.array(F.lit(0), size)).otherwise(F.coalesce(found["spans"], F.array().cast("array<int>")))
+    whole = F.encode(text_name, "UTF-8")
     # What is kept lies between the end of one stretch and the beginning of the next.
-    first, end = F.filter("spans", lambda x, k: k % 2 == 0), F.filter("spans", lambda x, k: k % 2 == 1)
+    first, end = F.filter(spans_name, lambda x, k: k % 2 == 0), F.filter(spans_name, lambda x, k: k % 2 == 1)
     pieces = F.zip_with(F.concat(F.array(F.lit(0)), end), F.concat(first, F.array(size)), lambda a, b: F.hex(F.substring(whole, a + 1, b - a)))
-    out = joined.withColumn("spans", gone).withColumn("n_bytes", size.cast("long"))
-    out = out.withColumn("kept", F.when(F.size("spans") == 0, whole).otherwise(F.unhex(F.array_join(pieces, ""))))
-    return out.drop("__text", "__key", "__copied")
+    out = joined.withColumn(size_name, size.cast("long")).withColumn(spans_name, gone)
+    out = out.withColumn(kept_name, F.when(F.size(spans_name) == 0, whole).otherwise(F.unhex(F.array_join(pieces, ""))))
+    return out.select(*(docs.columns if keep else ["doc_id"]), *names)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

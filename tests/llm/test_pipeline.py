@@ -40,7 +40,7 @@ def test_stages_equal_brute_force(spark, reference):  # noqa: F811
 
 def test_edges(spark, edge_docs, no_docs):
     keep = ["doc_id", "text", "lang", "source", "n_chars"]
-    for docs in (edge_docs.select(*keep, F.lit("x").alias("score"), F.lit(1).alias("node")), no_docs.select(*keep)):
+    for docs in (edge_docs.select(*keep, F.lit("x").alias("score"), F.lit(1).alias("node"), F.lit(2).alias("n_bytes"), F.lit("s").alias("spans"), F.lit("k").alias("kept"), F.lit(0).alias("__kept"), F.lit(1).alias("__quality"), F.lit("t").alias("__text")), no_docs.select(*keep)):
         n = docs.count()
         for stage in (cp.good_quality, cp.one_of_each_group, cp.without_repeats):
             out = stage(spark, docs, SF)
