@@ -21,34 +21,42 @@ ORACLE_SQL = None
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.5 or more; the classifier learns from the labels of these documents.
 
-    Null and empty texts have the score of the model's bias. Other columns, of whatever name, stay as they are.
+    Null and empty texts have the score of the model's bias; a score of exactly 0.5 stays; repeated rows have one fate; very
+    long texts are scored whole; an empty table gives no rows. Other columns, of whatever name, stay as they are.
     """
+    (name,) = common.fresh(("__quality",), docs.columns)
     model = quality.fit(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, keep=True, name="__quality").where("__quality >= 0.5").drop("__quality")
+    return quality.score(docs, model, keep=True, name=name).where(F.col(name) >= 0.5).drop(name)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, similarity 0.8) the document with the least id.
 
-    Documents without words are no group and all stay. Where an id repeats, rows of equal text are one document.
+    Documents without words, null texts among them, are no group and all stay. Where an id repeats, rows of equal text are
+    one document; a null id is an id. Very long texts are taken whole, an empty table gives no rows, other columns stay.
     """
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__kept"]), "left_semi")
-    again = common.cut(docs.groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again"), "pipeline-ids")
+    kept_id, again_id = common.fresh(("__kept", "__again"), docs.columns)
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
+    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept[kept_id]), "left_semi")
+    again = common.cut(docs.groupBy(F.col("doc_id").alias(again_id)).count().where("count > 1").select(again_id), "pipeline-ids")
     if again.isEmpty():
+        common.drop(again)
         return out
-    same = out["doc_id"].eqNullSafe(again["__again"])
+    same = out["doc_id"].eqNullSafe(again[again_id])
     return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that strings of 200 repeated bytes cover; characters cut in two go too; n_chars is counted anew.
 
-    A document may be left with an empty text; it stays, as only its repeated passages were at fault.
+    A document may be left with an empty text; it stays, as only its repeated passages were at fault. Null texts stay null,
+    repeated rows of 200 bytes or more lose all their text, very long texts are taken whole, an empty table gives no rows,
+    other columns stay, whatever their names.
     """
     common.ship(spark)
-    out = repeats.remove_repeats(docs)
-    changed = out.withColumn("kept", F.when(F.size("spans") > 0, F.col("kept"))).drop("n_bytes", "spans")
+    size, spans, left = common.fresh(("n_bytes", "spans", "kept"), docs.columns)
+    out = repeats.remove_repeats(docs, names=(size, spans, left))
+    changed = out.withColumn(left, F.when(F.size(spans) > 0, F.col(left))).drop(size, spans)
     names = docs.columns
     at, kept = names.index("text"), len(names)
 
@@ -64,7 +72,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences with their token ids."""
+    """The pieces of packed sequences with their token ids; nulls, empty and very long texts, ties and repeats as pack() says."""
     return packing.pack(docs)
 
 
@@ -72,7 +80,10 @@ STAGES = [("quality", good_quality), ("near-duplicates", one_of_each_group), ("r
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, last = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = common.cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:  # the stage before has been read for the last time
+            common.drop(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
