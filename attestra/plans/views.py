@@ -268,3 +268,77 @@ def chart_series(t: Base, evidence: Column | str) -> DataFrame:
     """Series of an evidence's charts as 'category=value' texts."""
     rows = t["grafica"].where(F.col("evidencia") == evidence)
     return rows.groupBy("orden", "titulo", "serie_orden", "serie").agg(an.ordered_list(F.concat("categoria", F.lit("="), F.col("valor").cast("string")), ["punto_orden"]).alias("puntos")).orderBy("orden", "serie_orden")
+
+
+# --- Lists and details of the public surface ---------------------------------------------------------------------------
+
+
+def edge_list(t: Base, equal: dict[str, object] | None = None, text: str = "") -> DataFrame:
+    """Correspondences with the names of both ends, by optional equal columns and a text in names or note."""
+    from attestra.operators.search import matches
+
+    names = lambda end: t["nodo"].select(F.col("marco").alias(f"marco_{end}"), F.col("codigo").alias(end), F.col("nombre").alias(f"{end}_nombre"))
+    edges = matches(t["correspondencia"], equal).join(names("origen"), ["marco_origen", "origen"]).join(names("destino"), ["marco_destino", "destino"])
+    return matches(edges, None, text, ["origen_nombre", "destino_nombre", "nota"])
+
+
+def label_list(t: Base, equal: dict[str, object] | None = None, text: str = "") -> DataFrame:
+    """Labels with their evidence's title and their node's name, by optional equal columns and a text in the evidence."""
+    from attestra.operators.search import matches
+
+    ev = matches(t["evidencia"], None, text, ["codigo", "titulo", "texto"]).select(F.col("codigo").alias("evidencia"), "titulo")
+    named = t["nodo"].select("marco", F.col("codigo").alias("nodo"), F.col("nombre").alias("nodo_nombre"))
+    return matches(t["evidencia_nodo"], equal).join(ev, "evidencia").join(named, KEY)
+
+
+def evidence_list(t: Base, equal: dict[str, object] | None = None, text: str = "") -> DataFrame:
+    """Evidence with the number of labels that stand, by optional equal columns and a text in it or in what OCR adds."""
+    from attestra.operators.search import matches
+
+    n = t["evidencia_nodo"].where("estado <> 'descartada'").groupBy(F.col("evidencia").alias("codigo")).agg(F.count("*").alias("etiquetas"))
+    return matches(t["evidencia"], equal, text, ["codigo", "titulo", "texto", "texto_ocr"]).join(n, "codigo", "left").fillna(0, ["etiquetas"])
+
+
+def pad_list(t: Base, text: str = "", also: Column | None = None) -> DataFrame:
+    """Course plans whose text, experiences or activities hold a text, and those that meet another condition."""
+    from attestra.operators.search import exists_in_any
+
+    holds = lambda c: F.col(c).contains(text) if not text else F.coalesce(F.ilike(F.col(c), F.lit("%" + text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%")), F.lit(False))
+    own = [holds("texto"), *([also] if also is not None else [])]
+    details = [(t[name].select(F.col("pad").alias("codigo"), "nombre"), holds("nombre")) for name in ("pad_experiencia", "pad_actividad")]
+    return exists_in_any(t["pad"], ["codigo"], own, details)
+
+
+def courses_sorted(t: Base) -> DataFrame:
+    return t["curso"].withColumnRenamed("nombre", "curso").orderBy("periodo", "numero")
+
+
+def courses_without_plan(t: Base) -> DataFrame:
+    return t["curso"].withColumnRenamed("nombre", "curso").join(t["pad"].select("curso"), "curso", "left_anti").orderBy("periodo", "curso")
+
+
+def program_outcomes(t: Base, framework: str = "ABET-EAC") -> DataFrame:
+    """Outcomes of a framework with the number of courses that are said to reach them."""
+    n = t["curso_outcome"].where("estado <> 'descartada'").groupBy(F.col("outcome").alias("codigo")).agg(F.count("*").alias("cursos"))
+    own = t["nodo"].where((F.col("marco") == framework) & (F.col("tipo") == "outcome"))
+    return own.join(n, "codigo", "left").fillna(0, ["cursos"]).orderBy("orden")
+
+
+def plan_details(t: Base) -> DataFrame:
+    """Course plans with their course and nested lists: experiences with their activities, outcomes. One join a list."""
+    acts = t["pad_actividad"].groupBy("pad", F.col("experiencia_orden").alias("orden")).agg(an.nested(["orden"], ["orden", "nombre", "etapa", "semana_inicio", "lugares", "instrumentos"]).alias("actividades"))
+    each = t["pad_experiencia"].join(acts, ["pad", "orden"], "left").withColumn("actividades", F.coalesce("actividades", F.array()))
+    experiences = each.groupBy("pad").agg(an.nested(["orden"], ["orden", "nombre", "tipo", "actividades"]).alias("experiencias"))
+    outcomes = t["curso_outcome"].where("estado <> 'descartada'").groupBy("curso").agg(an.nested(["outcome", "nivel"], ["outcome", "nivel", "estado"]).alias("outcomes"))
+    p = t["pad"].select(F.col("codigo").alias("pad"), "nombre", F.col("curso").alias("__curso"), "semestre", "texto")
+    c = t["curso"].select(F.col("nombre").alias("curso"), "periodo", F.col("creditos").alias("creditos_plan"))
+    out = p.join(c, F.col("__curso") == F.col("curso"), "left").join(experiences, "pad", "left").join(outcomes.withColumnRenamed("curso", "__o"), F.col("__curso") == F.col("__o"), "left")
+    return out.drop("__curso", "__o").orderBy("pad")
+
+
+def evidence_details(t: Base) -> DataFrame:
+    """Evidence with its labels (and their nodes' names) and the number of its charts' points."""
+    named = t["nodo"].select("marco", F.col("codigo").alias("nodo"), "nombre")
+    tags = t["evidencia_nodo"].join(named, KEY).groupBy("evidencia").agg(an.nested(["marco", "nodo", "rol"], ["marco", "nodo", "nombre", "rol", "origen", "estado", "validado_por"]).alias("etiquetas"))
+    points = t["grafica"].groupBy("evidencia").agg(F.count("*").alias("puntos"))
+    return t["evidencia"].withColumnRenamed("codigo", "evidencia").join(tags, "evidencia", "left").join(points, "evidencia", "left").fillna(0, ["puntos"])
