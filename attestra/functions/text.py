@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,10 +14,18 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuncyyAAAAAAEEEEIIIIOOOOOUUUUNCYoa"
 CREDENTIAL = r"(?iu)\b(usuario|user(?:name)?|contrase(?:ñ|n)a|password|clave(?: de acceso)?)(\s*[:=]\s*)(\S+)"
 OMITTED, MAIL_OMITTED = "[omitido]", "[correo omitido]"
 EMAIL = r"[\w.+-]+@[\w-]+(\.[\w-]+)+"
+#: What every page of the slides repeats, and the address that ends a page's text.
+REPEATED = r"(?iu)universidad de|cundinamarca|vigilada|mineducaci|www\.|\.edu\.co|acreditaci[oó]n de alta"
+PAGE_FOOT = r"www\.ucundinamarca\.edu\.co[^\n]*"
 ROMAN = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5, "VI": 6, "VII": 7, "VIII": 8, "IX": 9, "X": 10}
 ORDINAL = {"primer": 1, "primero": 1, "segundo": 2, "tercer": 3, "tercero": 3, "cuarto": 4, "quinto": 5, "sexto": 6, "septimo": 7, "octavo": 8, "noveno": 9, "decimo": 10}
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
 def strip_unicode(c: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -30,25 +36,27 @@ def squeeze(c: Column) -> Column:
     return strip_unicode(F.regexp_replace(F.regexp_replace(c, "[​‌‍﻿]", ""), r"(?U)\s+", " "))
 
 
-def clean_page(c: Column, drop_line: str = r"(?iu)^.*\bwww\.[^\n]*$") -> Column:
-    """A page's text without lines that match drop_line, with single spaces and at most one blank line in a row."""
-    c = F.regexp_replace(c, f"(?m){drop_line}\n?", "")
-    return strip_unicode(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n\s*\n+", "\n\n"))
+def page_text(c: Column, foot: str = PAGE_FOOT) -> Column:
+    """A page's text without the foot and all that follows it on its line."""
+    return F.regexp_replace(c, foot, "")
 
 
-def plain(c: Column) -> Column:
-    """Lower case without accents; signs outside ASCII are dropped."""
-    return F.regexp_replace(F.lower(F.translate(F.coalesce(c, F.lit("")), ACCENTED, PLAIN)), r"[^\x00-\x7f]", "")
+def clean_page(c: Column, foot: str = PAGE_FOOT) -> Column:
+    """A page's text without its foot, without blank lines, with single spaces."""
+    return strip_unicode(F.regexp_replace(F.regexp_replace(page_text(c, foot), r"(?U)\n\s*\n+", "\n"), r"[ \t]+", " "))
 
 
-def plain_exact(c: Column) -> Column:
-    """As plain(), by full compatibility decomposition, for signs that the table of accents lacks."""
+def pages(c: Column) -> Column:
+    """array<struct<pagina, texto>> of a document's text, whose pages end with form feeds; a last one that is empty is none."""
+    parts = F.split(c, "\f", -1)
+    kept = F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return F.transform(kept, lambda t, k: F.struct((k + 1).alias("pagina"), t.alias("texto")))
 
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield s.map(lambda t: unicodedata.normalize("NFKD", (t or "").lower()).encode("ascii", "ignore").decode())
 
-    return F.pandas_udf(run, "string")(c)
+def plain(c: Column) -> Column:
+    """Lower case without accents; signs outside ASCII are dropped. Texts that have none are lowered only."""
+    c = F.coalesce(c, F.lit(""))
+    return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.regexp_replace(F.lower(F.translate(c, ACCENTED, PLAIN)), r"[^\x00-\x7f]", ""))
 
 
 def label_key(c: Column) -> Column:
@@ -101,18 +109,17 @@ def hide_in_cells(c: Column) -> Column:
     return F.transform(c, lambda row: F.transform(row, hide_credentials))
 
 
-def novel_lines(lines: Column, known_text: Column, boilerplate: str = r"(?iu)^(p[aá]gina|universidad de)\b") -> Column:
-    """Of an array of lines, those that say something known_text does not: six signs or more, no boilerplate, at least 60 %
-    letters, and at least one word of four letters that is unknown."""
-    known = words4(known_text)
+def novel_lines(lines: Column, known_text: Column, boilerplate: str = REPEATED) -> Column:
+    """Of an array of lines, those that say something known_text does not: six signs or more, nothing that all pages repeat,
+    at least 60 % letters, and at least one word of four letters that is unknown."""
     squeezed = F.transform(lines, squeeze)
 
-    def keeps(line: Column) -> Column:
+    def keeps(line: Column, known: Column) -> Column:
         letters = F.length(F.regexp_replace(line, r"(?U)[^\p{L}]", ""))
         solid = F.length(F.replace(line, F.lit(" "), F.lit("")))
         return (F.length(line) >= 6) & ~F.regexp_like(line, F.lit(boilerplate)) & (letters >= 0.6 * F.greatest(solid, F.lit(1))) & (F.size(F.array_except(words4(line), known)) > 0)
 
-    return F.filter(squeezed, keeps)
+    return let(words4(known_text), lambda known: F.filter(squeezed, lambda line: keeps(line, known)))
 
 
 def snippet(c: Column, n: int = 220) -> Column:

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from attestra.functions import text as tx
 from attestra.functions.roles import role_of, weakness
+from attestra.operators.analytics import small
 
 #: Lines that never make a title, the lengths of titles, the pattern of page headers and of sources.
 NO_TITLE = r"(?iu)^(Caracter[ií]stica|Fuente|FACTOR|Factor \d|Ingenier[ií]a$|Agron[oó]mica$|Acreditaci[oó]n de Alta|Sede Fusa|ALD Faca|Universidad de|CUNDINAMARCA)"
 TITLE_LENGTH = 110
-HEADER = r"(?iu)Caracter[ií]stica\s+(\d+)\.?\s*([^\n]*)"
+HEADER = r"Caracter[ií]stica\s*(\d+)\.?\s*\n?\s*([^\n]+(?:\n[a-záéíóúñ][^\n]+)?)"
 SOURCE = r"Fuente[.:]\s*([^\n]{3,80})"
 #: The pattern of a cited norm, what its gap must not hold, the years that count, the issuers.
 NORM = r"(Acuerdo|Resoluci[oó]n)\b([^\n]{0,60}?)(?:N[o°º]\.?\s*|N\.\s*)?(\d{3,6})\s+(?:del?\s+)?(?:\d{1,2}\s+de\s+[a-zA-Z]+\s+(?:de\s+)?)?(\d{4})"
@@ -33,8 +34,9 @@ def first_match(rules: Sequence[tuple[Column, str | Column]], otherwise: str) ->
 
 
 def header(text: Column) -> dict[str, Column]:
-    """car (number) and car_nombre of a page header, null without one."""
-    name = F.trim(F.regexp_extract(text, HEADER, 2))
+    """car (number) and car_nombre of a page's text (before its blank lines go), null without one; a name may go on in the
+    next line if that begins with a small letter."""
+    name = tx.strip_unicode(F.regexp_replace(F.regexp_extract(text, HEADER, 2), r"(?U)\s+", " "))
     return {"car": F.regexp_extract(text, HEADER, 1).try_cast("int"), "car_nombre": F.when(name != "", name)}
 
 
@@ -183,7 +185,7 @@ def load_norms(evidence: DataFrame, excluded: DataFrame, manual: DataFrame) -> t
     key = ["tipo", "numero", "anio"]
     found = evidence.select("codigo", "orden", F.posexplode(cited_norms_udf("texto")).alias("at", "n")).select("codigo", "orden", "at", "n.*").join(excluded.select(*key), key, "left_anti")
     by_hand = manual.select(*key, F.col("organo").alias("manual"))
-    written = evidence.join(F.broadcast(manual.select(*key, "texto_a_buscar")), F.expr("contains(texto, texto_a_buscar)")).select("codigo", *key)
+    written = evidence.join(small(manual.select(*key, "texto_a_buscar")), F.expr("contains(texto, texto_a_buscar)")).select("codigo", *key)
     norms = found.groupBy(*key).agg(F.min_by("organo", F.when(F.col("organo").isNotNull(), F.struct("orden", "at"))).alias("organo"))
     norms = norms.join(by_hand, key, "full").select(*key, F.coalesce("manual", "organo").alias("organo"))
     return norms, found.select("codigo", *key).unionByName(written).distinct()

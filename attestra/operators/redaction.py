@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestra.functions.text import EMAIL, MAIL_OMITTED, OMITTED, hide_credentials
+from attestra.functions.text import EMAIL, MAIL_OMITTED, OMITTED, hide_credentials, let
 
 #: What names a leader, who counts as a person, the notice in place of a text.
 LEADER = r"(?iu)((?:nombre\s+(?:del\s+)?)?(?:profesor|docente)(?:a)?\s+l[ií]der:?)[^\n]*"
@@ -17,13 +17,23 @@ PEOPLE = r"(?iu)profesor|docente|investigador|estudiante|egresad|graduad|integra
 NOTICE = "[Texto omitido en la versión para compartir: {motivo}. Está en la versión completa del índice.]"
 
 
+def _guarded(applies: Callable[[Column], Column], change: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda t: F.when(applies(t), change(t)).otherwise(t)
+
+
 def mask(c: Column) -> Column:
     """Mail addresses, leaders' names (on the next line, then on the same), credentials, in this order."""
-    c = F.regexp_replace(c, EMAIL, MAIL_OMITTED)
-    c = F.regexp_replace(c, LEADER_NEXT, "$1" + OMITTED)
-    c = F.regexp_replace(c, LEADER, "$1 " + OMITTED)
-    c = F.regexp_replace(c, LEADER_CAI, "$1 " + OMITTED)
-    return hide_credentials(c)
+    # A plain test comes before each pattern; the mail pattern begins at the first sign of a word only, so words are read once.
+    has = lambda t, word: F.regexp_like(t, F.lit("(?iu)" + word))
+    steps = (
+        (lambda t: t.contains("@"), lambda t: F.regexp_replace(t, r"(?<![\w.+-])" + EMAIL, MAIL_OMITTED)),
+        (lambda t: has(t, "profesor"), lambda t: F.regexp_replace(t, LEADER_NEXT, "$1" + OMITTED)),
+        (lambda t: has(t, "l[ií]der"), lambda t: F.regexp_replace(F.regexp_replace(t, LEADER, "$1 " + OMITTED), LEADER_CAI, "$1 " + OMITTED)),
+        (lambda t: t.contains(":") | t.contains("="), hide_credentials),
+    )
+    for step in steps:
+        c = let(c, _guarded(*step))
+    return c
 
 
 def first_policy(code: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -34,10 +44,10 @@ def first_policy(code: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-def lists_people(cells: Column, people: str = PEOPLE) -> Column:
+def lists_people(cells: Column, people: str = PEOPLE, name: str = "nombre") -> Column:
     """Whether a table's first two rows name a name and a kind of person."""
     head = F.lower(F.array_join(F.flatten(F.slice(cells, 1, 2)), " "))
-    return head.contains("nombre") & F.regexp_like(head, F.lit(people))
+    return head.contains(name) & F.regexp_like(head, F.lit(people))
 
 
 def redact(evidence: DataFrame, tables: DataFrame, pads: DataFrame, rules: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

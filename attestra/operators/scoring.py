@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestra.functions.text import plain
+from attestra.functions.text import let, plain
 
 #: Patterns on plain text, competences, proposals by name, threshold and weights.
 PATTERNS = {
@@ -24,8 +24,13 @@ JUSTIFICATION = 400
 
 
 def hits(text: Column, patterns: dict[str, str] = PATTERNS) -> Column:
-    """array<struct<so, found>> of the patterns a plain text matches, with the first match of each."""
-    return F.filter(F.array(*[F.struct(F.lit(so).alias("so"), F.trim(F.regexp_extract(text, p, 0)).alias("found"), F.regexp_like(text, F.lit(p)).alias("hit")) for so, p in patterns.items()]), lambda x: x["hit"])
+    """array<struct<so, found>> of the patterns a plain text matches, with the first match of each; the text is made plain once."""
+
+    def found(t: Column) -> Column:
+        each = [F.when(F.regexp_like(t, F.lit(p)), F.struct(F.lit(so).alias("so"), F.trim(F.regexp_extract(t, p, 0)).alias("found"))) for so, p in patterns.items()]
+        return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+    return let(text, found)
 
 
 def level(period: Column, backed: Column) -> Column:
@@ -58,7 +63,8 @@ def propose(courses: DataFrame, pads: DataFrame, results: DataFrame, experiences
     for name, so in COMPETENCES.items():
         parts.append(experiences.where(plain(F.col("competencias")).contains(name)).select("curso", at(1, F.col("orden")).alias("orden"), F.lit(so).alias("so"), F.lit(COMPETENCE).alias("puntos"), F.lit(False).alias("con_rea"), F.lit(None).cast("string").alias("motivo")))
     bare = pads.join(activities.select("pad").distinct(), "pad", "left_anti")
-    found = bare.select("curso", "pad", F.explode(F.array(*[F.struct(F.lit(so).alias("so"), F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(plain(F.col("texto")), F.lit(p), 0), F.trim))).alias("m")) for so, p in PATTERNS.items()])).alias("x")).where(F.size("x.m") > 0)
+    every_match = lambda t: F.array(*[F.struct(F.lit(so).alias("so"), F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(t, F.lit(p), 0), F.trim))).alias("m")) for so, p in PATTERNS.items()])
+    found = bare.select("curso", "pad", F.explode(let(plain(F.col("texto")), every_match)).alias("x")).where(F.size("x.m") > 0)
     parts.append(found.select("curso", at(4).alias("orden"), F.col("x.so").alias("so"), F.least(F.lit(TEXT_CAP), F.size("x.m")).alias("puntos"), F.lit(False).alias("con_rea"), F.concat("pad", F.lit(" texto del PAD: «"), F.array_join(F.slice("x.m", 1, 3), "», «"), F.lit("»")).alias("motivo")))
     every = parts[0]
     for p in parts[1:]:

@@ -78,20 +78,13 @@ def plan_vs_actual_status(t: Tables) -> DataFrame:
 @query("""SELECT event_id, k AS key, json_extract_string(props, '$.' || k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)
 UNION ALL SELECT vec_id, 'e' || CAST(i - 1 AS VARCHAR), CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT)::VARCHAR FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""")
 def unnest_list(t: Tables) -> DataFrame:
-    props = t["events"].select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
-    vec = t["embeddings"].select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.concat(F.lit("e"), "i"), F.round(F.col("v").cast("double") * 1000).cast("long").cast("string"))
+    entries = t["events"].select("event_id", F.map_entries(F.from_json("props", "map<string,string>")).alias("e"))
+    props = an.unnest(entries, "e", "x", ["event_id"]).select("event_id", "x.key", "x.value")
+    places = t["embeddings"].select("vec_id", F.transform("embedding", lambda v, i: F.struct(i.alias("i"), v.alias("v"))).alias("e"))
+    vec = an.unnest(places, "e", "x", ["vec_id"]).select("vec_id", F.concat(F.lit("e"), "x.i"), F.round(F.col("x.v").cast("double") * 1000).cast("long").cast("string"))
     return props.union(vec)
 
 
-@query("""
-SELECT l_orderkey, l_linenumber, trim(CASE WHEN l_quantity > 45 THEN 'quantity ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' over 45; ' ELSE '' END
- || CASE WHEN l_tax > l_discount THEN 'tax above discount' ELSE '' END) AS problem FROM lineitem WHERE l_quantity > 45 OR l_tax > l_discount""")
-def composed_issue_text(t: Tables) -> DataFrame:
-    much, taxed = F.col("l_quantity") > 45, F.col("l_tax") > F.col("l_discount")
-    text = F.trim(F.concat(F.when(much, F.concat(F.lit("quantity "), F.col("l_quantity").cast("long"), F.lit(" over 45; "))).otherwise(""), F.when(taxed, "tax above discount").otherwise("")))
-    return t["lineitem"].where(much | taxed).select("l_orderkey", "l_linenumber", text.alias("problem"))
-
-
 _SCORES = """
 sc AS (SELECT c_nationkey AS k, floor(CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE) / count(*) / 10000) / 10 + 0.5 AS score FROM customer GROUP BY 1),
 sp AS (SELECT s_nationkey AS k, floor(CAST(sum(CAST(round(s_acctbal * 100) AS BIGINT)) AS DOUBLE) / count(*) / 10000) / 10 + 0.5 AS score FROM supplier GROUP BY 1)"""
@@ -121,14 +114,6 @@ def valuation_risk(t: Tables) -> DataFrame:
     return x.select("n_nationkey", "n_name", "score", "evidence", "high_signals", "medium_signals", an.band(F.col("score")).alias("grade"), an.over_rating_risk(F.col("score"), F.col("high_signals")).alias("risk"))
 
 
-@query(f"WITH {_SCORES} SELECT n_nationkey, sc.score AS score_a, sp.score AS score_b, round(sp.score - sc.score, 1) AS difference FROM nation LEFT JOIN sc ON sc.k = n_nationkey LEFT JOIN sp ON sp.k = n_nationkey")
-def gap_between_scales(t: Tables) -> DataFrame:
-    a = _scores(t["customer"], "c_nationkey", "c_acctbal").select(F.col("k").alias("n_nationkey"), F.col("score").alias("score_a"))
-    b = _scores(t["supplier"], "s_nationkey", "s_acctbal").select(F.col("k").alias("n_nationkey"), F.col("score").alias("score_b"))
-    out = t["nation"].select("n_nationkey").join(a, "n_nationkey", "left").join(b, "n_nationkey", "left")
-    return out.withColumn("difference", F.round(F.col("score_b") - F.col("score_a"), 1)).orderBy(F.abs("difference").desc_nulls_last())
-
-
 @query(f"""
 WITH {_SCORES}, node AS (SELECT 'R' || r_regionkey AS k, NULL AS p FROM region UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation),
 m AS (SELECT k AS top, k AS mem FROM node WHERE p IS NULL UNION ALL SELECT p, k FROM node WHERE p IS NOT NULL),
@@ -210,7 +195,7 @@ def decision_log_fold(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 500")
 def audit_top_k(t: Tables) -> DataFrame:
-    return t["events"].orderBy(F.desc("ts"), F.desc("event_id")).limit(500).select("event_id", "user_id", "event_type")
+    return decisions.audit(t["events"].withColumns({"fecha": F.col("ts"), "referencia": F.col("event_id")})).select("event_id", "user_id", "event_type")
 
 
 @query("""
@@ -254,10 +239,10 @@ def exists_or_search(t: Tables) -> DataFrame:
     return search.exists_in_any(t["customer"].select("c_custkey", "c_name", "c_acctbal"), ["c_custkey"], [F.col("c_acctbal") > 9900], [(o, F.col("o_totalprice") > 495000), (lines, F.lit(True))]).select("c_custkey", "c_name")
 
 
-@query("SELECT r_name, string_agg(n_name, ', ' ORDER BY n_name DESC) AS nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1")
+@query("SELECT r_name, string_agg(n_name, ', ' ORDER BY n_name) AS nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1")
 def ordered_listagg(t: Tables) -> DataFrame:
     joined = t["region"].join(t["nation"], F.col("r_regionkey") == F.col("n_regionkey"))
-    return joined.groupBy("r_name").agg(F.array_join(F.reverse(F.array_sort(F.collect_list("n_name"))), ", ").alias("nations"))
+    return joined.groupBy("r_name").agg(an.ordered_list(F.col("n_name"), ["n_name"]).alias("nations"))
 
 
 @query("""SELECT user_id, arg_min(CAST(round(value * 100) AS BIGINT), event_id) FILTER (event_type = 'view') AS "view", arg_min(CAST(round(value * 100) AS BIGINT), event_id) FILTER (event_type = 'purchase') AS purchase FROM events WHERE event_type IN ('view', 'purchase') GROUP BY 1""")
@@ -274,11 +259,6 @@ def nested_feed(t: Tables) -> DataFrame:
     return t["nation"].join(fed, F.col("s_nationkey") == F.col("n_nationkey"), "left").select("n_nationkey", "n_name", shown.alias("feed"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n"))
 
 
-@query("SELECT n_nationkey, n_name, r_name AS parent FROM nation LEFT JOIN region ON r_regionkey = n_regionkey")
-def hierarchy_parent(t: Tables) -> DataFrame:
-    return t["nation"].join(t["region"], F.col("r_regionkey") == F.col("n_regionkey"), "left").select("n_nationkey", "n_name", F.col("r_name").alias("parent"))
-
-
 @query("""WITH a AS (SELECT c_nationkey AS k, c_mktsegment AS s FROM customer WHERE c_acctbal > 0), b AS (SELECT c_nationkey AS k, CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_mktsegment END AS s FROM customer WHERE c_acctbal < 500 OR c_acctbal > 9000)
 SELECT *, 'a' AS side FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.k = a.k AND b.s IS NOT DISTINCT FROM a.s) UNION ALL SELECT *, 'b' FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE b.k = a.k AND b.s IS NOT DISTINCT FROM a.s)""")
 def two_way_difference(t: Tables) -> DataFrame:

@@ -38,17 +38,20 @@ def locf_header(t: Tables) -> DataFrame:
     return lb.carry_down(t["conversations"], ["conv_id"], ["turn", F.md5("text")], F.when(F.col("role") == "user", F.md5("text")), "header").select("conv_id", "turn", "header")
 
 
-@query("""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '[ \\n\\t]+', ' ', 'g'), '(?i)(license|version|cc by)[^0-9]{0,20}([0-9]+)', 2)) AS n FROM documents)
-SELECT n AS norm, count(*) AS mentions, count(DISTINCT doc_id) AS documents, min(doc_id) AS first_document FROM m GROUP BY 1""")
-def citation_mining(t: Tables) -> DataFrame:
-    flat = F.regexp_replace("text", r"[ \n\t]+", " ")
-    found = t["documents"].select("doc_id", F.explode(F.regexp_extract_all(flat, F.lit(r"(?i)(license|version|cc by)[^0-9]{0,20}([0-9]+)"), 2)).alias("norm"))
-    return found.groupBy("norm").agg(F.count("*").alias("mentions"), F.count_distinct("doc_id").alias("documents"), F.min("doc_id").alias("first_document"))
+#: Texts that cite norms: by number, with words between, through another norm, after a verb, out of the years that count.
+CITING = ("Según el Acuerdo No. {n} del 12 de mayo de {y} del Consejo Superior", "la Resolución 0{n} de {y} de la Rectoría", "el Acuerdo que reforma la Resolución N° {n} de {y} del CSU", "de Acuerdo con {n} de {y}", "Acuerdo {n} de 1950 y el ACUERDO académico {n} de {y}", "sin norma {n} de {y}")
+_CITING_SQL = "CASE o_orderkey % 6 " + " ".join(f"WHEN {k} THEN replace(replace('{t}', '{{n}}', CAST(100 + o_orderkey % 800 AS STRING)), '{{y}}', CAST(1985 + o_orderkey % 45 AS STRING))" for k, t in enumerate(CITING)) + " END"
+_ISSUER_SQL = "CASE " + " ".join(f"WHEN regexp_matches(hit, '{p}') THEN '{name}'" for name, p in lb.ISSUERS) + " END"
 
 
-@query()
+@query(f"""WITH t AS (SELECT o_orderkey, {_CITING_SQL} AS text FROM orders),
+p AS (SELECT o_orderkey, unnest(string_split(regexp_replace(text, '(?i)(Acuerdo|Resoluci[oó]n)\\b', chr(1) || '\\0', 'g'), chr(1))) AS piece FROM t),
+h AS (SELECT o_orderkey, piece, regexp_extract(piece, '(?i)^{lb.NORM}', 0) AS hit, regexp_extract(piece, '(?i)^{lb.NORM}', 2) AS gap, regexp_extract(piece, '(?i)^{lb.NORM}', 3) AS n, regexp_extract(piece, '(?i)^{lb.NORM}', 4) AS y FROM p)
+SELECT o_orderkey, CASE WHEN starts_with(lower(piece), 'acu') THEN 'Acuerdo' ELSE 'Resolución' END AS tipo, CAST(n AS INT) AS numero, CAST(y AS INT) AS anio, {_ISSUER_SQL} AS organo FROM h
+WHERE hit <> '' AND NOT regexp_matches(piece, '(?i)^(Acuerdo|Resoluci[oó]n)\\s+(con|a|al)\\b') AND NOT regexp_matches(gap, '(?i){lb.NORM_GAP}') AND CAST(y AS INT) BETWEEN {lb.NORM_YEARS[0]} AND {lb.NORM_YEARS[1]}""")
 def norm_rescan(t: Tables) -> DataFrame:
-    return t["documents"].select("doc_id", F.explode(lb.cited_norms_udf("text")).alias("n")).select("doc_id", "n.*")
+    texts = t["orders"].select("o_orderkey", F.expr(_CITING_SQL).alias("text"))
+    return texts.select("o_orderkey", F.explode(lb.cited_norms_udf("text")).alias("n")).select("o_orderkey", "n.*")
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) < 120 THEN 'cover' WHEN text LIKE '%$$$%' THEN 'noise' WHEN text ILIKE '%licen%' AND n_chars > 200 THEN 'licensed' WHEN contains(text, ' | ') THEN 'table' ELSE 'slide' END AS kind FROM documents""")
@@ -58,7 +61,7 @@ def classify_first_match(t: Tables) -> DataFrame:
     return t["documents"].select("doc_id", kind.alias("kind"))
 
 
-@query("""SELECT doc_id, coalesce(substring(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 14 AND NOT regexp_matches(x, '(?i)^(Caracter[ií]stica|Fuente|FACTOR|Factor [0-9]|Ingenier[ií]a$|Agron[oó]mica$|Acreditaci[oó]n de Alta|Sede Fusa|ALD Faca|Universidad de|CUNDINAMARCA)') AND NOT regexp_matches(x, '^[0-9 %.,$]+$') AND NOT contains('the and attion', lower(x)) )[1], 1, 110), 'the and attion') AS title FROM documents""")
+@query("""SELECT doc_id, coalesce(substring(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 14 AND NOT regexp_matches(x, '""" + lb.NO_TITLE.replace('(?iu)', '(?i)') + """') AND NOT regexp_matches(x, '^[0-9 %.,$]+$') AND NOT contains('the and attion', lower(x)) )[1], 1, 110), 'the and attion') AS title FROM documents""")
 def title_pick(t: Tables) -> DataFrame:
     return t["documents"].select("doc_id", lb.title(F.col("text"), F.lit("the and attion")).alias("title"))
 
@@ -77,7 +80,7 @@ def token_jaccard(t: Tables) -> DataFrame:
 WITH p AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn, md5(text)) AS known FROM conversations),
 k AS (SELECT conv_id, turn, text, regexp_extract_all({_PLAIN.format('known')}, '[a-z]{{4,}}') AS known FROM p),
 l AS (SELECT conv_id, turn, known, unnest(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g')))) AS line FROM k)
-SELECT conv_id, turn, count(*) AS new_lines, CAST(sum(length(line)) AS BIGINT) AS new_chars FROM l WHERE length(line) >= 6 AND NOT regexp_matches(line, '(?i)^(p[aá]gina|universidad de)\\b')
+SELECT conv_id, turn, count(*) AS new_lines, CAST(sum(length(line)) AS BIGINT) AS new_chars FROM l WHERE length(line) >= 6 AND NOT regexp_matches(line, '{tx.REPEATED.replace('(?iu)', '(?i)')}')
 AND length(regexp_replace(line, '[^\\p{{L}}]', '', 'g')) >= 0.6 * greatest(length(replace(line, ' ', '')), 1)
 AND len(list_filter(regexp_extract_all({_PLAIN.format('line')}, '[a-z]{{4,}}'), lambda x: NOT list_contains(known, x))) > 0 GROUP BY 1, 2""")
 def novel_lines(t: Tables) -> DataFrame:
@@ -87,11 +90,6 @@ def novel_lines(t: Tables) -> DataFrame:
     return rows.where(F.size("new") > 0).select("conv_id", "turn", F.size("new").cast("long").alias("new_lines"), chars.alias("new_chars"))
 
 
-@query("SELECT sha256(text) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
-def content_dedup(t: Tables) -> DataFrame:
-    return t["documents"].groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-
-
 @query("""SELECT p_partkey, CASE WHEN row_number() OVER w = 1 THEN p_name ELSE p_name || '-' || row_number() OVER w END AS code,
 CASE WHEN count(*) OVER g = 1 THEN p_brand ELSE p_brand || '-' || lpad(CAST(row_number() OVER g2 AS VARCHAR), 2, '0') END AS numbered FROM (SELECT *, CAST(p_size AS VARCHAR) AS z FROM part)
 WINDOW w AS (PARTITION BY p_name ORDER BY p_partkey), g AS (PARTITION BY p_brand, p_size, p_type), g2 AS (PARTITION BY p_brand, p_size, p_type ORDER BY p_partkey)""")
@@ -120,8 +118,7 @@ def suppress_by_policy(t: Tables) -> DataFrame:
 SELECT page_id, contains(head, 'the') AND regexp_matches(head, 'and|ing|tion') AS people FROM c""")
 def drop_person_tables(t: Tables) -> DataFrame:
     links = F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), 1)
-    head = F.lower(F.array_join(F.slice(links, 1, 2), " "))
-    return t["pages"].select("page_id", (head.contains("the") & F.regexp_like(head, F.lit("and|ing|tion"))).alias("people"))
+    return t["pages"].select("page_id", rd.lists_people(F.transform(links, lambda x: F.array(x)), "and|ing|tion", "the").alias("people"))
 
 
 PATTERNS = {"P1": r"\bthe\b", "P2": r"\bla\b|\ble\b", "P3": r"\bder\b|\bdie\b", "P4": r"\bcion\b|\bmente", "P5": r"licens", "P6": r"\| ", "P7": r"\brights reserved"}
@@ -190,9 +187,3 @@ SELECT conv_id, CAST(record AS BIGINT) AS record, md5(string_agg(text, ' ' ORDER
 def continuation_concat(t: Tables) -> DataFrame:
     rows = t["conversations"].withColumn("h", F.md5("text"))
     return ly.continuations(rows, ["conv_id"], ["turn", "h"], F.col("role") == "user", "text").select("conv_id", "record", F.md5("text").alias("digest"), "n_rows")
-
-
-@query("""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS heading, CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS paragraphs FROM pages""")
-def html_tree_titles(t: Tables) -> DataFrame:
-    tag = lambda n: F.regexp_extract("html", f"<{n}>([^<]*)</{n}>", 1)
-    return t["pages"].select("page_id", tag("title").alias("title"), tag("h1").alias("heading"), F.size(F.regexp_extract_all("html", F.lit("<p>"), 0)).cast("long").alias("paragraphs"))

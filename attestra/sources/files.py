@@ -188,7 +188,7 @@ def _relations(z: zipfile.ZipFile, part: str) -> dict[str, str]:
 
 
 def read_xlsx(data: bytes, most: int = SHEET_ROWS) -> dict[str, list[list[str]]]:
-    """Sheets as dense rows of texts: shared and inline strings, gaps filled with ''."""
+    """Sheets as dense rows of stripped texts: shared and inline strings, gaps filled with '', rows without text left out."""
     out: dict[str, list[list[str]]] = {}
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         text = lambda e: "".join(t.text or "" for t in _all(e, "t"))
@@ -199,15 +199,20 @@ def read_xlsx(data: bytes, most: int = SHEET_ROWS) -> dict[str, list[list[str]]]
             rows = []
             for row in _all(ET.fromstring(z.read(target)), "row"):
                 cells: dict[int, str] = {}
+                used = 0
                 for c in _all(row, "c"):
                     letters = re.match("[A-Z]*", c.get("r", "")).group()
                     at = 0
                     for ch in letters:
                         at = at * 26 + ord(ch) - 64
-                    at = at - 1 if letters else len(cells)
+                    at = at - 1 if letters else used
                     value = next((v.text or "" for v in _all(c, "v")), "")
-                    cells[at] = shared[int(value)] if c.get("t") == "s" and value else text(c) if c.get("t") == "inlineStr" else value
-                rows.append([cells.get(k, "") for k in range(max(cells, default=-1) + 1)])
+                    shown = (shared[int(value)] if c.get("t") == "s" and value else text(c) if c.get("t") == "inlineStr" else value).strip()
+                    if shown:
+                        cells[at] = shown
+                    used = max(used, at + 1)
+                if cells:  # blank rows are no rows
+                    rows.append([cells.get(k, "") for k in range(max(cells) + 1)])
                 if len(rows) >= most:
                     break
             out[sheet.get("name")] = rows
@@ -233,11 +238,13 @@ def _chart(xml: bytes) -> dict:
     series = []
     for s in _all(area, "ser"):
         part = {_local(x): x for x in s}
-        values = points(part["val"]) if "val" in part else {}
+        # Scatter charts have x and y values in place of categories and values.
+        values = next((points(part[k]) for k in ("val", "yVal") if k in part), {})
         n = max(values, default=-1) + 1
-        cat = part.get("cat")
+        cat = next((part[k] for k in ("cat", "xVal") if k in part), None)
         levels = [points(x) for x in _all(cat, "lvl")] if cat is not None else []
-        names = _fill_down(levels, n) if levels else [points(cat).get(k, "") if cat is not None else "" for k in range(n)]
+        known = points(cat) if cat is not None and not levels else {}
+        names = [x or str(k) for k, x in enumerate(_fill_down(levels, n))] if levels else [known.get(k, str(k)) for k in range(n)]
         data = []
         for k, v in sorted(values.items()):
             try:
@@ -245,7 +252,7 @@ def _chart(xml: bytes) -> dict:
             except ValueError:
                 continue
         series.append({"nombre": "".join(v.text or "" for v in _all(part["tx"], "v")) if "tx" in part else "", "puntos": data})
-    return {"titulo": title, "tipo": "+".join(kinds), "series": series}
+    return {"titulo": title, "tipo": ",".join(kinds), "series": series}
 
 
 def read_pptx(data: bytes) -> list[dict]:
