@@ -173,35 +173,6 @@ def numbered_codes(df: DataFrame, group: Sequence[str], order: Sequence[str], ba
     return F.when(many == 1, base).otherwise(F.concat(base, F.lit("-"), F.lpad(n.cast("string"), 2, "0")))
 
 
-def indent_tree(lines: list[str]) -> list[dict]:
-    """Indented lines 'TYPE "text"' as rows: node, parent, depth, kind, text; a line's parent is the last one less indented."""
-    stack: list[tuple[int, int]] = []
-    out = []
-    for raw in lines:
-        body = raw.strip()
-        if not body:
-            continue
-        indent = len(raw) - len(raw.lstrip(" "))
-        while stack and stack[-1][0] >= indent:
-            stack.pop()
-        kind, _, text = body.partition(" ")
-        out.append({"node": len(out), "parent": stack[-1][1] if stack else None, "depth": len(stack), "kind": kind, "text": text.strip().strip('"')})
-        stack.append((indent, len(out) - 1))
-    return out
-
-
-def trees(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """indent_tree for every document, one document at a time within its row."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [{id_col: i, **n} for i, t in zip(part[id_col], part[text_col], strict=True) for n in indent_tree((t or "").split("\n"))]
-            yield pd.DataFrame(rows, columns=[id_col, "node", "parent", "depth", "kind", "text"]).astype({"parent": "Int64"})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInPandas(run, f"{id_col} {kind}, node long, parent long, depth long, kind string, text string")
-
-
 def sections(blocks: DataFrame, key: Sequence[str], order: str, heading: Column, number: Column, title: Column, prefix: str) -> DataFrame:
     """Sections of a document from its blocks in reading order: code (numbered, or from the title; repeats get -2, -3, ...),
     title and text. Blocks before the first heading belong to none."""
@@ -219,13 +190,3 @@ def fill_down(df: DataFrame, key: Sequence[str], order: str, columns: Sequence[s
     """Blank cells take the value above them."""
     w = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(F.when(F.trim(c) != "", F.col(c)), ignorenulls=True).over(w) for c in columns})
-
-
-def heading_pages(titles: list[str], pages: list[str], skip: int = 12) -> list[int | None]:
-    """The page of each title, never before the page of the title before; the first pages (contents) are skipped."""
-    at, out = skip, []
-    for t in titles:
-        found = next((k for k in range(at, len(pages)) if t and t in pages[k]), None)
-        at = found if found is not None else at
-        out.append(found + 1 if found is not None else None)
-    return out

@@ -437,3 +437,29 @@ def decision_counters(t: Base) -> DataFrame:
 def ocr_search(t: Base) -> DataFrame:
     found = search.matches(t["evidencia"].where("estado_revision <> 'obsoleta'"), {}, "fr scan", ["texto_ocr"])
     return search.page(found, ["codigo"]).select("titulo", F.col("texto_ocr").alias("ocr"), "nivel")
+
+
+# --- Tagged documents: one for each region, a section for each nation -------------------------------------------------------
+
+
+@on_base("""SELECT 'R' || r_regionkey || '-' || codigo AS codigo, titulo, nivel, parrafos, leyendas, celdas FROM (
+SELECT n_regionkey AS r_regionkey, CASE WHEN n_nationkey % 3 = 0 THEN n_regionkey || '.' || n_nationkey ELSE 'NATION-' || n_nationkey || '-OF-THE' END AS codigo, CASE WHEN n_nationkey % 3 = 0 THEN n_regionkey || '.' || n_nationkey || ' ' || n_name ELSE n_name || ' of the world' END AS titulo,
+CAST(CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 2 END AS INT) AS nivel, 'about ' || n_name || ' and more' AS parrafos, CASE WHEN n_nationkey % 4 = 0 THEN 'Tabla ' || n_nationkey || '. ' || n_name END AS leyendas, CASE WHEN n_nationkey % 4 < 2 THEN n_name || '|' || n_nationkey END AS celdas FROM nation
+UNION ALL SELECT r_regionkey, 'PORTADA', 'Portada y créditos', 1, 'front of ' || r_name, NULL, NULL FROM region)""")
+def tagged_sections(t: Base) -> DataFrame:
+    from attestra.operators import tagged
+
+    n, k = F.col("n_name"), F.col("n_nationkey").cast("string")
+    numbered = F.col("n_nationkey") % 3 == 0
+    title = F.when(numbered, F.concat(F.col("n_regionkey").cast("string"), F.lit("."), k, F.lit(" "), n)).otherwise(F.concat(n, F.lit(" of the world")))
+    table = F.concat(F.lit('\nTable\n  TR\n    TD\n      "'), n, F.lit('"\n    TD\n      P\n        "'), k, F.lit('"\n  TR\n    TD\n'))
+    caption = F.concat(F.lit('\nCaption\n  "Tabla '), k, F.lit(". "), n, F.lit('"'))
+    part = F.concat(
+        F.when(F.col("n_nationkey") % 2 == 0, "H1").otherwise("H2"), F.lit('\n  "'), title, F.lit('"\n  /BBox [0 0 1 1]\nP\n  "about '), n, F.lit('"\n  Span\n    "and more"'),
+        F.when(F.col("n_nationkey") % 4 == 0, caption).otherwise(""), F.when(F.col("n_nationkey") % 4 < 2, table).otherwise(""),
+    )
+    parts = t.tables["nation"].groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(an.ordered_list(part, ["n_nationkey"], "\n").alias("parts"))
+    docs = t.tables["region"].join(parts, "r_regionkey").select(F.concat(F.lit("R"), "r_regionkey").alias("doc"), F.concat(F.lit('TOC\n  "contents"\nP\n  "front of '), "r_name", F.lit('"\n'), "parts").alias("text"))
+    found = tagged.sections(tagged.blocks(tagged.trees(docs, "doc", "text"), "doc"), "doc", F.col("doc"))
+    cells = F.array_join(F.flatten(F.flatten(F.transform("tablas", lambda x: x["filas"]))), "|")
+    return found.select("codigo", "titulo", "nivel", F.array_join("parrafos", "; ").alias("parrafos"), F.nullif(F.array_join(F.transform("tablas", lambda x: x["leyenda"]), ";"), F.lit("")).alias("leyendas"), F.nullif(cells, F.lit("")).alias("celdas"))

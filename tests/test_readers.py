@@ -26,7 +26,7 @@ def test_text_functions(spark):
     assert one(spark, tx.json_or_null, [], "array<string>") is None
     assert one(spark, lambda c: tx.clean_page(c), "a  b\nvisit www.ucundinamarca.edu.co now\n\n \n\nc www.site.co") == "a b\nvisit \nc www.site.co"
     assert [tuple(x) for x in one(spark, tx.pages, "one\ftwo\n\f")] == [(1, "one"), (2, "two\n")]
-    lines = ["Universidad de Algo", "12 34 %", "Nueva información útil", "texto CONOCIDO", "abc", "Página 3 de cosas"]
+    lines = ["La Universidad de Algo", "12 34 % de", "Nueva información útil", "texto CONOCIDO", "abc", "Vigilada por alguien", "ver www.site.co"]
     got = spark.createDataFrame([(lines, "texto conocido")], "l array<string>, k string").select(tx.novel_lines(F.col("l"), F.col("k")).alias("y")).first().y
     assert got == ["Nueva información útil"]
     assert one(spark, tx.hide_in_cells, [["Clave: s3cret", "b"]], "array<array<string>>") == [["Clave: [omitido]", "b"]]
@@ -41,11 +41,6 @@ def test_layout(spark):
     assert layout.cells(segs).count() == 5
     pairs = layout.value_to_the_right(segs.where("x0 > 50"), segs.where("x0 < 50"), ["doc", "p"])
     assert {(r.label, r.value) for r in pairs.collect()} == {("Nombre", "Ana"), ("Tipo de", "Libre")}
-    tree = layout.indent_tree(["A", '  B "x"', "    C", "  D", "E"])
-    assert [(n["kind"], n["parent"]) for n in tree] == [("A", None), ("B", 0), ("C", 1), ("D", 0), ("E", None)]
-    docs = spark.createDataFrame([(1, "A\n  B x"), (2, None)], "i int, t string")
-    assert layout.trees(docs, "i", "t").count() == 2
-    assert layout.heading_pages(["b", "a", "c"], ["a", "b", "x b", "a c"], skip=1) == [2, 4, 4]
     blocks = spark.createDataFrame([("d", 0, "x", ""), ("d", 1, "One", "1"), ("d", 2, "text", None), ("d", 3, "One", "1"), ("d", 4, "Intro", "")], "d string, o int, text string, n string")
     got = layout.sections(blocks, ["d"], "o", F.col("n").isNotNull() & (F.col("o") > 0), F.coalesce("n", F.lit("")), F.col("text"), "DM25")
     assert [r.code for r in got.orderBy("section").collect()] == ["DM25-1", "DM25-1-2", "DM25-INTRO"]
