@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +67,15 @@ DOMAINS = {
 LEVELLING = "Diagnóstico y nivelatorio"
 
 
-def bad_patterns(patterns: Iterable[str]) -> list[str]:
-    """Patterns that do not compile; a short list that the driver holds anyway."""
+def bad_patterns(patterns: Iterable[str], spark: SparkSession | None = None) -> list[str]:
+    """Patterns that do not compile, in Python or, given a session, in Java, where rules run; a short list of the driver."""
     out = []
     for p in patterns:
         try:
             re.compile(p or "(")
-        except re.error:
+            if spark is not None:
+                spark._jvm.java.util.regex.Pattern.compile(p)
+        except (re.error, Py4JError):
             out.append(p)
     return out
 
@@ -106,6 +109,6 @@ def seed_rules(s: dict[str, DataFrame]) -> DataFrame:
 def require_valid(spark: SparkSession, s: dict[str, DataFrame]) -> None:
     found = [f"{r.rule}: {r.message}" for r in seed_rules(s).limit(SHOWN).collect()]
     for name, rule in (("privacidad", "V23"), ("documento_nodos", "V24")):
-        found += [f"{rule}: pattern does not compile: {p}" for p in bad_patterns(r.patron for r in s[name].select("patron").toLocalIterator())]
+        found += [f"{rule}: pattern does not compile: {p}" for p in bad_patterns((r.patron for r in s[name].select("patron").toLocalIterator()), spark)]
     if found:
         raise SeedError("\n".join(found[:SHOWN]))

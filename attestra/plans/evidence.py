@@ -193,7 +193,7 @@ def node_details(t: Base) -> DataFrame:
     return d.select("nodo", "padre", _said("evidencias", "evidencia", "rol").alias("evidencias"), _said("correspondencias", "marco_origen", "origen", "tipo").alias("correspondencias"), _said("brechas", "titulo", "severidad").alias("brechas"), _said("indicadores", "indicador").alias("indicadores"))
 
 
-@on_base("""SELECT codigo AS evidencia, titulo, md5(substring(coalesce(texto, ''), 1, 2200) || CASE WHEN texto_ocr IS NOT NULL THEN chr(10) || '[OCR] ' || substring(texto_ocr, 1, 800) ELSE '' END) AS texto,
+@on_base("""SELECT codigo AS evidencia, titulo, md5(substring(coalesce(texto, ''), 1, 2200) || CASE WHEN texto_ocr IS NOT NULL THEN chr(10) || '[Texto en imágenes (OCR)]' || chr(10) || substring(texto_ocr, 1, 800) ELSE '' END) AS texto,
 (SELECT string_agg(marco || '/' || nodo || '/' || rol || '/' || estado, ';' ORDER BY marco, nodo, rol) FROM evidencia_nodo l WHERE l.evidencia = e.codigo) AS etiquetas FROM evidencia e WHERE estado_revision <> 'obsoleta'""")
 def evidence_feed(t: Base) -> DataFrame:
     return views.evidence_feed(t).select("evidencia", "titulo", F.md5("texto").alias("texto"), _said("etiquetas", "marco", "nodo", "rol", "estado").alias("etiquetas"))
@@ -439,6 +439,30 @@ def ocr_search(t: Base) -> DataFrame:
     return search.page(found, ["codigo"]).select("titulo", F.col("texto_ocr").alias("ocr"), "nivel")
 
 
+@on_base("""SELECT c.marco, c.nombre, (SELECT string_agg(codigo || '/' || coalesce(padre, '-'), ';' ORDER BY orden, codigo) FROM nodo n WHERE n.marco = c.marco) AS estructura FROM (VALUES ('CNA', 'first'), ('SOFIA', 'second'), ('OTHER', 'third')) AS c(marco, nombre)""")
+def accreditor_cards(t: Base) -> DataFrame:
+    cards = t.tables.spark.createDataFrame([("CNA", "first"), ("SOFIA", "second"), ("OTHER", "third")], "marco string, nombre string")
+    shown = F.array_join(F.transform("estructura", lambda x: F.concat_ws("/", x["codigo"], F.coalesce(x["padre"], F.lit("-")))), ";")
+    return views.accreditor_cards(t, cards).select("marco", "nombre", F.nullif(shown, F.lit("")).alias("estructura"))
+
+
+# --- Redaction and tables of people -----------------------------------------------------------------------------------------
+
+#: Codes whose texts are withheld, and why.
+WITHHELD = [(r"^D[0-9]*7$", "personal data"), (r"^D1[0-9][0-9]$", "contract")]
+
+
+@on_base("""SELECT codigo, CASE WHEN why IS NULL THEN md5(texto) ELSE md5('[Texto omitido en la versión para compartir: ' || why || '. Está en la versión completa del índice.]') END AS texto, CASE WHEN why IS NULL THEN texto_ocr END AS texto_ocr, CASE WHEN why IS NULL THEN archivo END AS archivo
+FROM (SELECT *, CASE WHEN regexp_matches(codigo, '^D[0-9]*7$') THEN 'personal data' WHEN regexp_matches(codigo, '^D1[0-9][0-9]$') THEN 'contract' END AS why FROM evidencia WHERE NOT contains(texto, '@') AND NOT contains(texto, ':') AND NOT contains(texto, '=') AND NOT regexp_matches(texto, '(?i)profesor|l[ií]der'))""")
+def redacted_evidence(t: Base) -> DataFrame:
+    from attestra.operators import redaction
+
+    quiet = t["evidencia"].where(~F.col("texto").contains("@") & ~F.col("texto").contains(":") & ~F.col("texto").contains("=") & ~F.regexp_like("texto", F.lit("(?iu)profesor|l[ií]der")))
+    tables = t.tables.spark.createDataFrame([], schema.TABLES["tabla_diapositiva"])
+    out = redaction.redact(quiet, tables, t["pad"], WITHHELD)[0]
+    return out.select("codigo", F.md5("texto").alias("texto"), "texto_ocr", "archivo")
+
+
 # --- Tagged documents: one for each region, a section for each nation -------------------------------------------------------
 
 

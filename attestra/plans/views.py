@@ -211,10 +211,14 @@ def node_details(t: Base, framework: str) -> DataFrame:
     return out.orderBy("orden", "nodo")
 
 
+#: Fixed value: what leads what OCR adds to a text.
+OCR_LEAD = "\n[Texto en imágenes (OCR)]\n"
+
+
 def evidence_feed(t: Base, text: int = 2200, ocr: int = 800) -> DataFrame:
     """Evidence that is not obsolete with its text cut, what OCR adds, and all its labels."""
     tags = t["evidencia_nodo"].groupBy("evidencia").agg(an.nested(["marco", "nodo"], ["marco", "nodo", "rol", "estado"]).alias("etiquetas"))
-    said = F.concat(F.substring(F.coalesce("texto", F.lit("")), 1, text), F.when(F.col("texto_ocr").isNotNull(), F.concat(F.lit("\n[OCR] "), F.substring("texto_ocr", 1, ocr))).otherwise(""))
+    said = F.concat(F.substring(F.coalesce("texto", F.lit("")), 1, text), F.when(F.col("texto_ocr").isNotNull(), F.concat(F.lit(OCR_LEAD), F.substring("texto_ocr", 1, ocr))).otherwise(""))
     ev = t["evidencia"].where("estado_revision <> 'obsoleta'")
     return ev.select(F.col("codigo").alias("evidencia"), "titulo", "tipo", "archivo", "pagina", "sede", said.alias("texto")).join(tags, "evidencia", "left").orderBy("evidencia")
 
@@ -342,3 +346,10 @@ def evidence_details(t: Base) -> DataFrame:
     tags = t["evidencia_nodo"].join(named, KEY).groupBy("evidencia").agg(an.nested(["marco", "nodo", "rol"], ["marco", "nodo", "nombre", "rol", "origen", "estado", "validado_por"]).alias("etiquetas"))
     points = t["grafica"].groupBy("evidencia").agg(F.count("*").alias("puntos"))
     return t["evidencia"].withColumnRenamed("codigo", "evidencia").join(tags, "evidencia", "left").join(points, "evidencia", "left").fillna(0, ["puntos"])
+
+
+def accreditor_cards(t: Base, cards: DataFrame) -> DataFrame:
+    """Cards (marco and any other columns) with estructura: the nodes of their framework in order."""
+    n = t["nodo"].withColumn("__o", F.coalesce("orden", F.lit(-1)))
+    own = n.groupBy("marco").agg(an.nested(["__o", "codigo"], ["codigo", "nombre", "tipo", "padre", "descripcion"]).alias("estructura"))
+    return cards.join(own, "marco", "left").withColumn("estructura", F.coalesce("estructura", F.array()))

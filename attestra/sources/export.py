@@ -6,10 +6,12 @@ import base64
 import io
 import json
 import zipfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attestra.operators import redaction
 from attestra.plans import views
 
 #: Tables that no export has, and the mark of a redacted page.
@@ -30,7 +32,7 @@ def to_csv(tables: dict[str, DataFrame], folder: str) -> list[str]:
     return names
 
 
-def to_zip(tables: dict[str, DataFrame], most_rows: int = 1_000_000) -> bytes:
+def to_zip(tables: dict[str, DataFrame], most_rows: int = 100_000) -> bytes:
     """A zip of CSV files with byte order mark, for people; refuses tables too large for one file."""
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -42,13 +44,40 @@ def to_zip(tables: dict[str, DataFrame], most_rows: int = 1_000_000) -> bytes:
     return out.getvalue()
 
 
-def document(t: views.Base, frameworks: tuple[str, ...] = ("ABET-EAC", "ATMAE-2027", "ANECA-EURACE", "SOFIA"), **more) -> dict:
-    """The nested document of a dashboard: small results only, each of them one query."""
-    rows = lambda df: [json.loads(x) for x in df.toJSON().collect()]
-    out = {name: rows(view(t)) for name, view in views.VIEWS.items()}
-    out |= {f"nodos_{f}": rows(views.node_details(t, f)) for f in frameworks}
-    out |= {"evidencias": rows(views.evidence_feed(t)), "indicadores": rows(views.indicator_series(t)), "normativa": rows(views.norms_cited(t)), "brechas": rows(views.gaps_by_severity(t)), "matriz": rows(views.course_matrix(t)), "ruta": rows(views.study_route(t))}
-    return out | more
+def _parts(t: views.Base, frameworks: tuple[str, ...]) -> dict[str, DataFrame]:
+    out = {name: view(t) for name, view in views.VIEWS.items()}
+    out |= {f"nodos_{f}": views.node_details(t, f) for f in frameworks}
+    return out | {"evidencias": views.evidence_feed(t), "indicadores": views.indicator_series(t), "normativa": views.norms_cited(t), "brechas": views.gaps_by_severity(t), "matriz": views.course_matrix(t), "ruta": views.study_route(t), "cursos": views.courses_sorted(t)}
+
+
+FRAMEWORKS = ("ABET-EAC", "ATMAE-2027", "ANECA-EURACE", "SOFIA")
+
+
+def document(t: views.Base, frameworks: tuple[str, ...] = FRAMEWORKS, most_rows: int = 100_000, **more) -> dict:
+    """The nested document of a dashboard for one page; a part of more rows is refused, write_document has no such limit."""
+
+    def rows(name: str, df: DataFrame) -> list:
+        found = df.limit(most_rows + 1).toJSON().collect()
+        if len(found) > most_rows:
+            raise ValueError(f"{name} has more than {most_rows} rows; use write_document")
+        return [json.loads(x) for x in found]
+
+    return {name: rows(name, df) for name, df in _parts(t, frameworks).items()} | more
+
+
+def write_document(t: views.Base, folder: str, frameworks: tuple[str, ...] = FRAMEWORKS) -> list[str]:
+    """The same parts as JSON lines, a folder each, written by the executors."""
+    parts = _parts(t, frameworks)
+    for name, df in parts.items():
+        df.write.mode("overwrite").json(f"{folder}/{name}")
+    return list(parts)
+
+
+def write_shared(t: views.Base, rules: Sequence[tuple[str, str]], folder: str) -> DataFrame:
+    """A copy of the base for sharing as CSV folders: texts masked or withheld, tables of people gone; gives the counters."""
+    evidence, tables, pads, counters = redaction.redact(t["evidencia"], t["tabla_diapositiva"], t["pad"], rules)
+    to_csv(dict(t) | {"evidencia": evidence, "tabla_diapositiva": tables, "pad": pads}, folder)
+    return counters
 
 
 def page(data: dict, template: str, script: str = "", logo: bytes | None = None) -> str:

@@ -92,7 +92,7 @@ def read_glb(data: bytes) -> dict:
     corners = [acc[p["indices"]]["count"] if "indices" in p else acc[p["attributes"]["POSITION"]]["count"] for p in prims]
     boxes = [a for a in at if "min" in a and "max" in a]
     dims = [round(max(a["max"][k] for a in boxes) - min(a["min"][k] for a in boxes), 3) for k in range(3)] if boxes else []
-    return {"vertices": sum(a["count"] for a in at), "triangles": sum(c // 3 for c in corners), "meshes": len(g.get("meshes", [])), "draco": "KHR_draco_mesh_compression" in g.get("extensionsUsed", []), "dims": dims, "generator": (g.get("asset", {}).get("generator") or "")[:60]}
+    return {"vertices": sum(a["count"] for a in at), "triangles": sum(c // 3 for c in corners), "meshes": len(g.get("meshes", [])), "materials": len(g.get("materials", [])), "textures": len(g.get("images", [])), "draco": "KHR_draco_mesh_compression" in g.get("extensionsUsed", []), "dims": dims, "generator": (g.get("asset", {}).get("generator") or "")[:60]}
 
 
 def _exif(block: bytes) -> dict:
@@ -153,7 +153,7 @@ def read_mp4(data: bytes) -> dict:
                 walk(start, stop)
             elif kind == b"mvhd":
                 scale, length = struct.unpack_from(">IQ", data, start + 20) if data[start] else struct.unpack_from(">II", data, start + 12)
-                out["seconds"] = round(length / scale, 3) if scale else 0.0
+                out["seconds"] = round(length / scale, 1) if scale else 0.0
             elif kind == b"tkhd" and not out["width"]:
                 w, h = struct.unpack_from(">II", data, stop - 8)
                 out["width"], out["height"] = w >> 16, h >> 16

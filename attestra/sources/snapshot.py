@@ -1,4 +1,4 @@
-"""Snapshots of a base: a folder of Parquet tables for each version, and a manifest that names the current one."""
+"""Snapshots of a base: a folder of Parquet tables for each load, and numbered manifests of which the highest is current."""
 
 from __future__ import annotations
 
@@ -19,27 +19,34 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    fs, p = _fs(spark, f"{root}/manifest-*.json")
+    return sorted(int(f.getPath().getName()[len("manifest-") : -len(".json")]) for f in fs.globStatus(p) or [])
+
+
 def manifest(spark: SparkSession, root: str) -> dict | None:
-    fs, p = _fs(spark, f"{root}/manifest.json")
-    return json.loads("\n".join(r[0] for r in spark.read.text(f"{root}/manifest.json").collect())) if fs.exists(p) else None
+    """The manifest with the highest number; each is complete from the moment it has its name, and none is ever replaced."""
+    numbers = _numbers(spark, root)
+    return json.loads("\n".join(r[0] for r in spark.read.text(f"{root}/manifest-{numbers[-1]:09d}.json").collect())) if numbers else None
 
 
 def write(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
-    """Write all tables in a new folder, then point the manifest at it; readers see the old or the new, never a mixture."""
+    """Write all tables in a new folder, then a manifest with the next number; readers see the old or the new, never a mixture.
+
+    A writer that fails leaves files that no manifest names; of two writers at once one fails and changes nothing.
+    """
     name = uuid.uuid4().hex
+    before, last = manifest(spark, root), (_numbers(spark, root) or [0])[-1]
     for table, df in tables.items():
         conform(df, table).write.parquet(f"{root}/{name}/{table}")
-    before = manifest(spark, root)
     text = json.dumps({"version": VERSION, "current": name, "previous": before and before["current"], "tables": sorted(tables)})
-    fs, temp = _fs(spark, f"{root}/manifest.{name}")
+    fs, temp = _fs(spark, f"{root}/{name}/manifest")
     out = fs.create(temp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    _, final = _fs(spark, f"{root}/manifest.json")
-    if fs.exists(final):
-        fs.rename(final, _fs(spark, f"{root}/manifest.before-{name}.json")[1])
-    if not fs.rename(temp, final):
-        raise SnapshotError("the manifest could not be replaced")
+    _, final = _fs(spark, f"{root}/manifest-{last + 1:09d}.json")
+    if fs.exists(final) or not fs.rename(temp, final):
+        raise SnapshotError("another load has been stored meanwhile")
     return name
 
 

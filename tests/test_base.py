@@ -212,11 +212,17 @@ def test_redaction_and_export(spark, base, tmp_path):
     small = {k: base[k] for k in ("marco", "nodo", "curso_prerrequisito")}
     assert zipfile.ZipFile(io.BytesIO(export.to_zip(small))).namelist() == ["marco.csv", "nodo.csv"]
     assert export.to_csv(small, str(tmp_path / "csv")) == ["marco", "nodo"] and spark.read.csv(str(tmp_path / "csv/nodo"), header=True).count() == 11
+    with pytest.raises(ValueError, match="write_document"):
+        export.document(base, ("ABET-EAC",), most_rows=2)
+    assert "matriz" in export.write_document({**base}, str(tmp_path / "doc"), ("ABET-EAC",)) and spark.read.json(str(tmp_path / "doc/nodos_ABET-EAC")).count() == base["nodo"].where("marco = 'ABET-EAC'").count()
+    counters = export.write_shared(base, [("^F01-P001$", "why")], str(tmp_path / "shared")).first()
+    assert counters.evidencias_omitidas == 1 and "Texto omitido" in spark.read.csv(str(tmp_path / "shared/evidencia"), header=True).where("codigo = 'F01-P001'").first().texto
     root = str(tmp_path / "snap")
     with pytest.raises(snapshot.SnapshotError):
         snapshot.read(spark, root)
     snapshot.write(spark, root, small)
     snapshot.write(spark, root, {"marco": base["marco"].limit(1), "nodo": base["nodo"]})
+    assert snapshot.manifest(spark, root)["previous"] is not None and snapshot._numbers(spark, root) == [1, 2]
     back = snapshot.read(spark, root)
     assert back["marco"].count() == 1 and back["nodo"].count() == 11 and back["decision"].count() == 0
     views.create_views(base)
