@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .schema import TABLES, VERSION, conform
+from .schema import TABLES, VERSION, conform, empty_base
+
+#: Fixed value: the first version that is brought up to date; bases before it have no meta table and are begun anew.
+FIRST = 2
 
 
 class SnapshotError(ValueError):
@@ -58,3 +61,18 @@ def read(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     if m["version"] > VERSION:
         raise SnapshotError(f"the snapshot has version {m['version']}, this program knows {VERSION}")
     return {t: conform(spark.read.parquet(f"{root}/{m['current']}/{t}"), t) if t in m["tables"] else spark.createDataFrame([], TABLES[t]) for t in TABLES}
+
+
+def open_base(spark: SparkSession, root: str, rebuild: bool = False) -> tuple[dict[str, DataFrame], str | None]:
+    """The tables that a load begins with, and the folder that is kept as a backup if it begins anew.
+
+    Nothing there: empty tables. A base from version FIRST on is read with the columns and tables it lacks; decisions stay.
+    An older one, or any with rebuild, is kept as it is under its own manifest while the load begins with empty tables. A
+    newer one is refused, unless it is to be rebuilt.
+    """
+    m = manifest(spark, root)
+    if m is None:
+        return empty_base(spark), None
+    if rebuild or m["version"] < FIRST:
+        return empty_base(spark), m["current"]
+    return read(spark, root), None
