@@ -44,6 +44,12 @@ BULLET, ONLY_BULLET, INNER_BULLET = r"^(•|¿(?=\s))\s*", r"^[•¿]$", r"\s+
 #: Header words of the reading list and their fields.
 READING = {"autor": "autor", "nombre": "titulo", "titulo": "titulo", "ttulo": "titulo", "ano": "anio", "ao": "anio", "isbn": "isbn", "estandarizado": "identificador", "editorial": "editorial", "url": "url"}
 
+#: What opens an experience in the second template, labels around its title, what ends the last one, how far its head reaches above and below.
+EXPERIENCE, AROUND, AFTER_EXPERIENCES = r"^Experiencia\s*:", r"^(Semestre|Periodo|Dimensiones|Descripci|DESCRIPCI|Rea)", ("autor", "bibliografa o webgrafa", "bibliografia o webgrafia")
+ABOVE, BELOW, LEFT_HALF, TITLE_END, TITLE_GAP = 32, 40, 300, 320, 6
+#: Texts beside the dimensions and beside the description that are neither.
+NO_DIMENSION, NO_DESCRIPTION = r"^(Descripci|Semestre|Periodo|Rea\b)", r"^(Dimensiones|Semestre|Periodo|DESCRIPCI)"
+
 SEGMENT = ("x0", "y0", "x1", "y1", "t")
 
 
@@ -225,3 +231,60 @@ def specific_results(segs: DataFrame) -> DataFrame:
     weight = F.max(F.when(is_weight & (F.col("distance") < 8), F.regexp_replace(F.regexp_replace("t", r"\s*%", ""), ",", ".").cast("double")))
     out = both.groupBy("doc", "consecutivo").agg(F.trim(F.regexp_replace(words, r"[ \t]+", " ")).alias("texto"), weight.alias("peso"))
     return out.where("texto <> ''")
+
+
+def _neat(c: Column) -> Column:
+    """A field's text: one sign for bullets, no zero-width signs, single spaces."""
+    return tx.strip_unicode(F.regexp_replace(F.replace(F.replace(c, F.lit("¿ "), F.lit("• ")), F.lit("\u200b"), F.lit("")), r"[ \t]+", " "))
+
+
+def _joined(rows: Column, order: Sequence[str]) -> Column:
+    """Texts t of an array of structs in an order, with spaces between them."""
+    keyed = F.transform(rows, lambda s: F.struct(*[s[c].alias(c) for c in order], s["t"].alias("t")))
+    return F.array_join(F.transform(F.sort_array(keyed), lambda s: s["t"]), " ")
+
+
+def experiences(segs: DataFrame) -> DataFrame:
+    """doc, orden, tipo, nombre, dimensiones, rea, descripcion of the experiences in the second template, in reading order.
+
+    A title opens an experience; what it says goes on in the lines below that follow closely. Its head begins some lines above
+    it, so the stretch of the one before ends there, and the last ends where the reading list begins. The outcome is a number
+    at the left edge before the activities, and the description what stands to the right of it. Ties in height go by x.
+    """
+    s = segs.select("doc", "p", *SEGMENT).withColumns({"pos": F.col("p") * 100_000 + F.col("y0"), "yc": (F.col("y0") + F.col("y1")) / 2, "plain": tx.label_key(F.col("t"))})
+    s = s.withColumn("opens", F.regexp_like("t", F.lit(EXPERIENCE)) & (F.col("x0") < LEFT_HALF))
+    s = islands(s, ["doc"], ["pos", F.desc("opens"), "x0", "t"], F.col("opens"), "orden")
+    last = segs.where(tx.label_key(F.col("t")).isin(*AFTER_EXPERIENCES)).groupBy("doc").agg(F.min(F.col("p") * 100_000 + F.col("y0")).alias("limit"))
+    titles = s.where("opens").select("doc", "orden", "p", *[F.col(c).alias(f"t_{c}") for c in ("y0", "y1", "yc")], "pos")
+    titles = titles.withColumn("next", F.lead("pos").over(Window.partitionBy("doc").orderBy("orden")) - ABOVE).join(last, "doc", "left")
+    titles = titles.withColumn("end", F.coalesce("next", "limit", F.lit(float("inf"))))
+
+    # The head: all that lies around a title on its page.
+    head = titles.join(s.drop("orden", "pos"), ["doc", "p"]).where((F.col("y0") >= F.col("t_y0") - ABOVE) & (F.col("y0") <= F.col("t_y1") + BELOW))
+    row = F.struct("y0", "x0", "x1", "y1", "yc", "t")
+    heads = head.groupBy("doc", "orden", "t_y1", "t_yc").agg(F.sort_array(F.collect_list(row)).alias("all"))
+    left = F.filter("all", lambda x: (x["x0"] < LEFT_HALF) & ~F.regexp_like(x["t"], F.lit(AROUND)))
+    line = _joined(F.filter(left, lambda x: F.abs(x["yc"] - F.col("t_yc")) < 3), ["x0"])
+    begun = F.struct(F.col("t_y1").alias("y"), F.array(F.regexp_replace(line, r"^[^:]*:", "")).alias("said"), F.lit(False).alias("over"))
+
+    def goes_on(done: Column, x: Column) -> Column:
+        over = done["over"] | (x["y0"] - done["y"] > TITLE_GAP) | (x["x1"] > TITLE_END) | F.regexp_like(x["t"], F.lit(r"^\s*\d{1,2}\s*$"))
+        return F.when(over, F.struct(done["y"].alias("y"), done["said"].alias("said"), F.lit(True).alias("over"))).otherwise(F.struct(F.greatest(done["y"], x["y1"]).alias("y"), F.concat(done["said"], F.array(x["t"])).alias("said"), F.lit(False).alias("over")))
+
+    said = F.aggregate(F.filter(left, lambda x: x["y0"] > F.col("t_y1") - 1), begun, goes_on, lambda done: F.array_join(done["said"], " "))
+    label = F.get(F.filter("all", lambda x: x["t"].startswith("Dimensiones")), F.lit(0))
+    near = lambda x, d: (x["y0"] > d["y0"]) & (x["y0"] < d["y0"] + 45) & (x["x0"] >= d["x0"] - 30) & (x["x0"] <= d["x1"] + 40) & ~F.regexp_like(x["t"], F.lit(NO_DIMENSION))
+    listed = tx.let(label, lambda d: F.concat_ws(" ", F.regexp_extract(d["t"], r"^[^:]*:(.*)$", 1), F.array_join(F.transform(F.filter("all", lambda x: near(x, d)), lambda x: x["t"]), " ")))
+    parts = F.filter(F.transform(F.split(listed, r"\s*-\s*"), tx.strip_unicode), lambda x: x != "")
+    named = heads.select("doc", "orden", F.regexp_replace(_neat(said), r"\s+Rea$", "").alias("nombre"), F.when(label.isNotNull(), parts).alias("dimensiones"))
+
+    # The body up to the activities: the outcome's number and what stands beside it.
+    body = s.join(titles.select("doc", "orden", "end"), ["doc", "orden"]).where("pos < end")
+    acts = body.where("plain = 'actividades'").groupBy("doc", "orden").agg(F.min("pos").alias("acts"))
+    before = body.join(acts, ["doc", "orden"], "left").where("acts IS NULL OR pos < acts").groupBy("doc", "orden").agg(F.sort_array(F.collect_list(F.struct("pos", "x0", "t", "plain"))).alias("before"))
+    number = F.get(F.filter("before", lambda x: (x["x0"] < 60) & F.regexp_like(x["t"], F.lit(r"^\s*\d{1,2}\s*$"))), F.lit(0))
+    beside = lambda x, n: (x["x0"] > 100) & (x["pos"] > n["pos"] - 25) & ~x["plain"].isin("rea", "descripcion") & ~F.regexp_like(x["t"], F.lit(NO_DESCRIPTION))
+    told = tx.let(number, lambda n: F.when(n.isNotNull(), F.array_join(F.transform(F.filter("before", lambda x: beside(x, n)), lambda x: x["t"]), " ")))
+    described = before.select("doc", "orden", F.trim(number["t"]).cast("int").alias("rea"), _neat(told).alias("descripcion"))
+    out = named.join(described, ["doc", "orden"], "left")
+    return out.select("doc", F.col("orden").cast("int").alias("orden"), F.lit("vive_experiencia").alias("tipo"), "nombre", "dimensiones", "rea", "descripcion")

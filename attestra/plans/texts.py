@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.functions import text as tx
+from attestra.operators import institutional as inst
 from attestra.operators import labelling as lb
 from attestra.operators import layout as ly
 from attestra.operators import redaction as rd
@@ -187,3 +188,35 @@ SELECT conv_id, CAST(record AS BIGINT) AS record, md5(string_agg(text, ' ' ORDER
 def continuation_concat(t: Tables) -> DataFrame:
     rows = t["conversations"].withColumn("h", F.md5("text"))
     return ly.continuations(rows, ["conv_id"], ["turn", "h"], F.col("role") == "user", "text").select("conv_id", "record", F.md5("text").alias("digest"), "n_rows")
+
+
+#: A plan's layout text, made of a part's row by an expression that Spark and DuckDB both read; and what another reading has.
+_SEMESTER_SAID = "CASE p_partkey % 7 WHEN 0 THEN '3' WHEN 1 THEN 'Segundo semestre' WHEN 2 THEN 'VIII' WHEN 3 THEN '__5__' WHEN 4 THEN 'not known' WHEN 5 THEN 'in the Ninth' ELSE 'séptimo u octavo' END"
+_PLAN_TEXT = f"""concat(CASE WHEN p_partkey % 4 = 0 THEN 'COURSE PLAN' ELSE 'INFORMACIÓN GENERAL DEL CAI' END, chr(10), 'Código del CAI   CAI', lpad(CAST(p_partkey AS string), 8, '0'), chr(10),
+CASE WHEN p_partkey % 4 = 0 THEN 'Curso   ' ELSE 'Nombre del CAI   ' END, p_name, ' .   other', chr(10), 'Ubicación Semestral   ', {_SEMESTER_SAID}, chr(10), 'Créditos:', CASE WHEN p_partkey % 3 = 0 THEN chr(10) ELSE ' ' END, CAST(p_size % 10 AS string), chr(10),
+'Prerrequisitos (si aplica)    ', p_type, chr(10))"""
+_PLAN_READ = {
+    "codigo": "CASE WHEN p_partkey % 9 = 0 THEN 'CAD1' ELSE concat('PAD-', CAST(p_partkey AS string)) END", "codigo_pdf": "CASE WHEN p_partkey % 5 = 0 THEN 'OWN' END",
+    "nombre": "CASE p_partkey % 4 WHEN 1 THEN 'PAD one' WHEN 2 THEN NULL ELSE 'Own name' END", "semestre": "CASE WHEN p_partkey % 2 = 0 THEN 1 END", "creditos": "CASE WHEN p_partkey % 5 = 1 THEN 8 END", "prerrequisitos": "CASE WHEN p_partkey % 5 = 2 THEN 'Own' ELSE '' END",
+}
+
+
+def _semester_sql() -> str:
+    return "CASE w " + " ".join(f"WHEN '{w}' THEN {n}" for w, n in inst.SEMESTERS.items()) + " END"
+
+
+@query(rf"""
+WITH p AS (SELECT CAST(p_partkey AS string) AS archivo, {_PLAN_TEXT} AS texto, {", ".join(f"{e} AS {c}" for c, e in _PLAN_READ.items())} FROM part),
+k AS (SELECT *, regexp_matches(upper(substr(texto, 1, {inst.HEAD_LENGTH})), '{inst.HEADING}') AND NOT regexp_matches(codigo, '{inst.OTHER_CODE}') AS ours,
+nullif(regexp_extract(texto, '(?i)C[óo]digo del CAI\s+(CAI\d{{6,}})', 1), '') AS c, nullif(trim(regexp_extract(texto, '(?i){inst.NAME[0]}', 1), ' .:*-_'), '') AS n,
+lower(trim(regexp_extract(texto, '(?i){inst.SEMESTER}', 1))) AS said, try_cast(regexp_extract(texto, '(?i){inst.CREDITS}', 1) AS integer) AS cr, nullif(trim(regexp_extract(texto, '(?i){inst.REQUIRED}', 1), ' .:*-_'), '') AS r FROM p),
+l AS (SELECT *, coalesce(try_cast(regexp_extract(said, '^_*(\d)', 1) AS integer), list_extract(list_filter(list_transform(regexp_extract_all(said, '[a-záéíóú]+'), lambda w: {_semester_sql()}), lambda x: x IS NOT NULL), 1)) AS s FROM k)
+SELECT archivo, CASE WHEN ours AND codigo_pdf IS NULL THEN coalesce(c, codigo) ELSE codigo END AS codigo, CASE WHEN ours THEN coalesce(codigo_pdf, c) ELSE codigo_pdf END AS codigo_pdf,
+CASE WHEN ours AND regexp_matches(coalesce(nombre, 'PAD'), '{inst.FILE_NAME}') THEN coalesce(n, nombre) ELSE nombre END AS nombre, CASE WHEN ours THEN coalesce(semestre, s) ELSE semestre END AS semestre,
+CASE WHEN ours THEN coalesce(creditos, cr) ELSE creditos END AS creditos, CASE WHEN ours AND prerrequisitos = '' THEN coalesce(r, '') ELSE prerrequisitos END AS prerrequisitos, CASE WHEN ours THEN '{inst.KIND}' END AS tipo_campo FROM l""")
+def institutional_plans(t: Tables) -> DataFrame:
+    parts, key = t["part"], F.col("p_partkey").cast("string").alias("archivo")
+    lists = [F.lit(None).cast("string").alias("rea_general"), F.lit(None).cast("array<struct<consecutivo:int,texto:string>>").alias("rea"), F.lit(None).cast("array<struct<tipo:string,nombre:string>>").alias("experiencias")]
+    pads = parts.select(key, *[F.expr(e).alias(c) for c, e in _PLAN_READ.items()], *lists)
+    done = inst.complement_plans(pads, parts.select(key, F.expr(_PLAN_TEXT).alias("texto")))
+    return done.select("archivo", "codigo", "codigo_pdf", "nombre", "semestre", "creditos", "prerrequisitos", "tipo_campo")

@@ -153,3 +153,19 @@ def test_columns_without_values_go_by_nearest_centre(spark):
     items = spark.createDataFrame([("k", 10.0, 60.0, "a"), ("k", 300.0, 360.0, "b")], "k string, x0 double, x1 double, t string")
     heads = spark.createDataFrame([("k", 0.0, 50.0, "one"), ("k", 150.0, 200.0, "two"), ("k", 290.0, 380.0, "three")], "k string, x0 double, x1 double, field string")
     assert {r.t: r.field for r in forms.columns_by_header(items, heads, ["k"]).collect()} == {"a": "one", "b": "three"}
+
+
+def test_experiences(spark):
+    s = segs(spark, [
+        (1, 400, 70, 460, "Semestre: 2"), (1, 60, 100, 200, "Experiencia: The long"), (1, 210, 101, 280, "way to the"), (1, 60, 112, 180, "harvest of it Rea"), (1, 60, 150, 200, "far below"),
+        (1, 350, 90, 430, "Dimensiones: Aula - Cultura"), (1, 340, 105, 420, "- Naturaleza"), (1, 345, 118, 400, "Semestre"), (1, 110, 200, 150, "Rea"), (1, 40, 220, 48, "2"), (1, 120, 210, 400, "What is done"),
+        (1, 120, 225, 400, "and why"), (1, 120, 300, 200, "Actividades"), (1, 120, 320, 200, "not told"), (1, 40, 330, 45, "9"),
+        (2, 110, 75, 200, "above the second"), (2, 60, 100, 200, "Experiencia : Second"), (2, 50, 112, 58, "7"), (2, 60, 124, 90, "no name"), (2, 150, 130, 300, "Its text"), (3, 150, 20, 300, "goes on"), (3, 60, 50, 90, "Autor"), (3, 150, 60, 300, "a book"),
+    ])
+    assert [tuple(r) for r in forms.experiences(s).orderBy("orden").collect()] == [
+        ("d", 1, "vive_experiencia", "The long way to the harvest of it", ["Aula", "Cultura", "Naturaleza"], 2, "What is done and why"),
+        ("d", 2, "vive_experiencia", "Second", None, 7, "Its text goes on"),
+    ]
+    assert forms.experiences(segs(spark, [(1, 10, 10, 50, "Autor"), (1, 400, 10, 450, "Experiencia: right")])).count() == 0
+    alone = segs(spark, [(1, 10, 10, 50, "Experiencia:")])
+    assert [tuple(r) for r in forms.experiences(alone).collect()] == [("d", 1, "vive_experiencia", "", None, None, None)]
