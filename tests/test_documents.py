@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from attestra.operators import forms, tagged
+from attestra.operators import activities, forms, tagged
 
 STRUCT = """Document
   /Lang (es)
@@ -169,3 +169,41 @@ def test_experiences(spark):
     assert forms.experiences(segs(spark, [(1, 10, 10, 50, "Autor"), (1, 400, 10, 450, "Experiencia: right")])).count() == 0
     alone = segs(spark, [(1, 10, 10, 50, "Experiencia:")])
     assert [tuple(r) for r in forms.experiences(alone).collect()] == [("d", 1, "vive_experiencia", "", None, None, None)]
+
+
+def numbered_words(spark, rows):
+    """Words of segments (p, x0, y0, t): every word 5 points a sign wide with 3 between, a line for each height of a page."""
+    out = []
+    for p, x, y, t in rows:
+        for w in t.split(" "):
+            out.append(("d", p, int(y), int(x), float(x if w is None else 0), float(y), 0.0, float(y + 10), w))
+    at: dict = {}
+    words = []
+    for d, p, line, seg, _, y0, _, y1, w in out:
+        x0 = at.get((p, line, seg), float(seg))
+        at[p, line, seg] = x0 + 5 * len(w) + 3
+        words.append((d, p, line, seg, x0, y0, x0 + 5 * len(w), y1, w))
+    return spark.createDataFrame(words, "doc string, p int, line int, segment int, x0 double, y0 double, x1 double, y1 double, t string")
+
+
+def test_activities_of_the_second_template(spark):
+    long = "a long telling of what is to be done there"
+    rows = [(1, 60, 100, "Experiencia: One"), (1, 50, 200, "Actividades")]
+    rows += [
+        (1, 20, 300, "SEED"), (1, 20, 330, "TIME"), (1, 121, 296, long + " x"), (1, 121, 306, "goes on"), (1, 400, 315, "Semana 2"), (1, 450, 315, "1 Semana(s)"), (1, 500, 305, "guides them"), (1, 500, 309, "well"), (1, 600, 305, "learns"),
+        (1, 121, 345, "Herramientas de Recolección de Datos: (Tarea): a text (Foro): talk"), (1, 125, 357, "and more"),
+        (1, 20, 500, "HARVEST"), (1, 121, 500, long + " y"), (1, 400, 500, "Semana"), (1, 400, 510, "4"), (1, 450, 500, "3 Semana(s)"), (1, 500, 500, "helps"), (1, 600, 500, "cuts"), (1, 600, 560, "eats"),
+        (2, 121, 60, long + " z"), (2, 60, 150, "Experiencia: Two"), (2, 50, 200, "Actividades"), (2, 121, 300, "no weeks here"), (2, 60, 400, "Autor"), (2, 400, 420, "Semana 9"),
+    ]
+    got = [r.asDict() for r in activities.activities(numbered_words(spark, rows)).orderBy("orden", "actividad").collect()]
+    assert [(r["orden"], r["actividad"], r["nombre"], r["semana_inicio"], r["duracion"]) for r in got] == [(1, 1, "SEED TIME", "Semana 2", "1 Semana(s)"), (1, 2, "HARVEST", "Semana 4", "3 Semana(s)")]
+    assert [r["descripcion"] for r in got] == [long + " x goes on", f"{long} y {long} z"]
+    assert [(r["trabajo_profesor"], r["trabajo_estudiante"]) for r in got] == [("guides them well", "learns"), ("helps", "cuts eats")]
+    assert [(r["instrumentos"], r["descripcion_instrumentos"]) for r in got] == [(["Tarea", "Foro"], "(Tarea): a text (Foro): talk and more"), (None, None)]
+    assert activities.activities(numbered_words(spark, [(1, 60, 100, "Experiencia: One")])).count() == 0
+
+
+def test_phases(spark):
+    rows = [(1, 50, 100, 120, "Fases del MCA"), (1, 50, 120, 80, "Fase"), (1, 200, 120, 280, "Descripción"), (1, 50, 140, 90, "Fase 1."), (1, 50, 152, 90, "Motivate"), (1, 200, 140, 500, "w" * 61), (1, 200, 152, 300, "end"), (1, 50, 220, 90, "Fase 2. Do"), (1, 50, 300, 150, "Vive una experiencia"), (1, 50, 320, 90, "Fase 3")]
+    assert [tuple(r) for r in activities.phases(segs(spark, rows)).orderBy("orden").collect()] == [("d", 1, "Fase 1. Motivate", "w" * 61 + " end"), ("d", 2, "Fase 2. Do", None)]
+    assert activities.phases(segs(spark, [(1, 50, 100, 120, "Fases del MCA"), (1, 50, 120, 180, "No hay datos")])).count() == 0
