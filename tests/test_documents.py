@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from attestra.operators import activities, forms, tagged
+from attestra.operators import activities, forms, records, tagged
 
 STRUCT = """Document
   /Lang (es)
@@ -207,3 +207,21 @@ def test_phases(spark):
     rows = [(1, 50, 100, 120, "Fases del MCA"), (1, 50, 120, 80, "Fase"), (1, 200, 120, 280, "Descripción"), (1, 50, 140, 90, "Fase 1."), (1, 50, 152, 90, "Motivate"), (1, 200, 140, 500, "w" * 61), (1, 200, 152, 300, "end"), (1, 50, 220, 90, "Fase 2. Do"), (1, 50, 300, 150, "Vive una experiencia"), (1, 50, 320, 90, "Fase 3")]
     assert [tuple(r) for r in activities.phases(segs(spark, rows)).orderBy("orden").collect()] == [("d", 1, "Fase 1. Motivate", "w" * 61 + " end"), ("d", 2, "Fase 2. Do", None)]
     assert activities.phases(segs(spark, [(1, 50, 100, 120, "Fases del MCA"), (1, 50, 120, 180, "No hay datos")])).count() == 0
+
+
+def test_records_of_the_first_template(spark):
+    rows = [
+        (1, 40, 50, 120, "Dimensiones"), (1, 150, 50, 250, "no record yet"), (1, 40, 80, 200, "Vive una experiencia"), (1, 40, 100, 250, "Experiencia: First one"),
+        (1, 40, 120, 100, "Dimensiones"), (1, 150, 114, 250, "• Aula"), (1, 150, 126, 250, "• Cultura"), (1, 40, 160, 200, "Actividad: Digging"), (1, 40, 185, 120, "Trabajo gestor del"), (1, 40, 196, 110, "conocimiento"), (1, 40, 207, 100, "(profesor)"),
+        (1, 150, 196, 270, "shows how"), (1, 300, 196, 360, "Semana inicio"), (1, 400, 196, 450, "Semana 1"), (1, 300, 230, 360, "Duración"), (1, 400, 230, 450, "2 semanas"), (1, 40, 260, 120, "Lugares"), (1, 150, 260, 250, "• Field"), (1, 40, 700, 120, "Trabajo estudiante"), (1, 150, 700, 250, "digs and"),
+        (2, 150, 20, 250, "plants"), (2, 40, 60, 200, "Soluciona un problema"), (2, 40, 80, 200, "Problema: Drought"), (2, 40, 100, 200, "Etapa 1: Look"), (2, 40, 120, 250, "Actividad: Measure"), (2, 40, 150, 120, "Descripción"), (2, 150, 150, 250, "the wells"),
+        (2, 40, 200, 120, "Acciones"), (2, 40, 220, 120, "Mejoras"), (2, 150, 220, 250, "• Less"), (2, 150, 232, 250, "• More"), (2, 40, 300, 120, "Bibliografía"), (2, 150, 320, 250, "a book"),
+    ]
+    got = [tuple(r)[1:] for r in records.records(segs(spark, rows)).orderBy("orden", "actividad").collect()]
+    assert got == [
+        (0, 0, None, None, None, {"mejoras": ["Less", "More"]}),
+        (1, 0, "vive_experiencia", "First one", None, {"dimensiones": ["Aula", "Cultura"]}),
+        (1, 1, None, "Digging", None, {"trabajo_profesor": ["shows how"], "semana_inicio": ["Semana 1"], "duracion": ["2 semanas"], "lugares": ["Field"], "trabajo_estudiante": ["digs and plants"]}),
+        (2, 0, "soluciona_problema", "Drought", None, None),
+        (2, 1, None, "Measure", "Look", {"descripcion": ["the wells"]}),
+    ]
