@@ -237,7 +237,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
                 times.append(t)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], ["doc_id", "key", "n_bytes", "vals", "times"])
 
-    rows = common.cut(docs.mapInArrow(scan, "doc_id long, key binary, n_bytes long, vals array<long>, times array<long>"), "repeats-rows")
+    # Only what is read several times is written: each file of a task costs its executor a file's buffers and, in a local folder, processes.
+    rows = docs.mapInArrow(scan, "doc_id long, key binary, n_bytes long, vals array<long>, times array<long>")
     # One row of each text stands for all.
     texts = common.cut(rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("vals").alias("vals"), F.first("times").alias("times")), "repeats-texts")
     values = texts.select("key", "doc_id", F.explode(F.arrays_zip("vals", "times")).alias("x")).select("key", "doc_id", F.col("x.vals").alias("v"), F.col("x.times").alias("t"))
@@ -260,7 +261,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
         for frame in (old, hot, split):
             common.drop(frame)
     distinct = found.groupBy("sid").agg(F.first("route").alias("route"), F.max("bytes").alias("bytes"), F.count("*").alias("n"))
-    marked = common.cut(_sorted_shards(distinct, length, shard_bytes).where(F.size("spans") > 0), "repeats-marked")
+    marked = _sorted_shards(distinct, length, shard_bytes).where(F.size("spans") > 0)
     once = texts.where("copies = 1").select("key")
     placed = found.select("sid", "key", "start").join(marked, "sid").select("key", F.transform("spans", lambda x: x + F.col("start")).alias("spans"))
     spans = placed.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans")).join(once, "key")
@@ -272,7 +273,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
 
     copied = texts.where("copies > 1").select("key", F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("spans"))
     out = common.cut(copied.unionByName(spans.mapInArrow(merged, "key binary, spans array<int>").select("key", F.lit(False).alias("copied"), "spans")), "repeats-fate")
-    for frame in (rows, texts, found, marked):
+    for frame in (texts, found):
         common.drop(frame)
     return out
 

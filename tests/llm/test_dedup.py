@@ -69,6 +69,16 @@ def test_line_repeated_in_a_row_within_a_hot_route(spark, rng):
     assert removed(df) == want and removed(df, many=2) == want
 
 
+def test_repeats_write_only_tables_that_are_read_again(spark, rng, monkeypatch):
+    """Each table that is written costs executors memory and files; those read once go straight on."""
+    written, cut = [], repeats.common.cut
+    monkeypatch.setattr(repeats.common, "cut", lambda df, tag: written.append(tag) or cut(df, tag))
+    shared = invented(rng, 40)
+    rows = [(k, invented(rng, 20) + shared * (k % 2)) for k in range(8)]
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute_removed(rows, 200)
+    assert written == ["repeats-texts", "repeats-runs", "repeats-hot", "repeats-fate"]
+
+
 def test_repeats_edges(spark, edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
     assert removed(edge_docs) == brute_removed(rows, 200)
