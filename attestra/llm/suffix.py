@@ -176,6 +176,19 @@ def _sort_seeds(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray) -> np.nda
     return seeds[np.argsort(rank, kind="stable")]
 
 
+def _s_types(text: np.ndarray) -> np.ndarray:
+    """Which suffixes are less than the next one, and the separators; what this takes is free again when the sort begins."""
+    n = len(text)
+    is_s = text == 0
+    if n > 1:
+        there = np.arange(n - 1, dtype=np.int32)  # as in the queues, places are below 2**31
+        there[text[1:] == text[:-1]] = n - 2
+        back = there[::-1]
+        np.minimum.accumulate(back, out=back)
+        is_s[:-1] |= (text[1:] > text[:-1])[there]
+    return is_s
+
+
 def sorted_suffixes(text: np.ndarray):
     """Yields (places, prefixes) by bucket: suffixes in order, and what each shares with the one before it; the buckets' order is not fixed.
 
@@ -184,12 +197,7 @@ def sorted_suffixes(text: np.ndarray):
     """
     n = len(text)
     ends = np.flatnonzero(text == 0)
-    step = np.sign(np.diff(text.astype(np.int16)))
-    there = np.where(step != 0, np.arange(n - 1), n)
-    nearest = np.minimum.accumulate(there[::-1])[::-1]
-    is_s = np.ones(n, bool)
-    is_s[:-1] = step[np.minimum(nearest, n - 2)] > 0 if n > 1 else True
-    is_s[ends] = True
+    is_s = _s_types(text)
     seeds = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     ordered = _sort_seeds(text, is_s, seeds)
     lcp = np.zeros(len(ordered), np.uint8)

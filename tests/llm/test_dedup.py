@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import tracemalloc
 
 import pytest
 
@@ -24,6 +25,16 @@ def test_suffix_sorting_equals_brute_force(rng, monkeypatch):
         suffix.repeated_starts([b"a\xffb"], 1)
 
 
+def test_suffix_sorting_holds_little_beside_the_text(rng):
+    strings = [invented(rng, 60).encode() for _ in range(700)]
+    size = sum(map(len, strings))
+    tracemalloc.start()
+    suffix.repeated_starts(strings, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 52 * size
+
+
 def brute_removed(rows, n):
     data = [(i, (t or "").encode()) for i, t in rows]
     starts = brute_starts([b for _, b in data], n)
