@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -49,6 +53,26 @@ def fresh(names: tuple[str, ...], taken: list[str]) -> list[str]:
     return out
 
 
+def give_back() -> None:
+    """Hand what this process has freed back to the system, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow(run, schema); a worker, which later stages use again, keeps no free memory of a task that has ended."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(lean, schema)
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: later stages restart from files, not from lineage."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"

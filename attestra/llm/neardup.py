@@ -91,7 +91,7 @@ def sketch(docs: DataFrame, words: int, least: int) -> DataFrame:
                 keys.append(registers(h).view(np.int64) if len(h) >= max(1, least) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "node", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node binary, keys array<long>")
+    return common.mapped(docs, run, "doc_id long, n long, node binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -108,7 +108,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     sets.append(h.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
 
-    return joined.mapInArrow(run, "node binary, hashes array<long>")
+    return common.mapped(joined, run, "node binary, hashes array<long>")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -127,7 +127,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
 
     sized = pairs.join(a, "a").join(b, "b").where((F.col("na") >= threshold * F.col("nb") - 1e-6) & (F.col("nb") >= threshold * F.col("na") - 1e-6))
-    return sized.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(run, "a binary, b binary")
+    return common.mapped(sized.select("a", "b", "na", "nb", "ka", "kb"), run, "a binary, b binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -148,7 +148,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a binary, b binary")
+    return common.mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb"), run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words: int
             counts = [pa.array(c, pa.int64()) for c in ([len(x) for x, _ in pairs], [len(y) for _, y in pairs], [len(x) for x in diff])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *counts, pa.array(diff, pa.list_(pa.int64()))], ["hub", "node", "label", "n", "hub_n", "d", "diff"])
 
-    out = common.cut(joined.mapInArrow(run, "hub binary, node binary, label binary, n long, hub_n long, d long, diff array<long>"), "neardup-differences")
+    out = common.cut(common.mapped(joined, run, "hub binary, node binary, label binary, n long, hub_n long, d long, diff array<long>"), "neardup-differences")
     common.drop(sets)
     return out
 

@@ -141,7 +141,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
     limits = {"max_tokens": max_tokens, "max_segments": max_segments, "max_loss": max_loss}
     cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(prompt_col).cast("int").alias("prompt")] if prompt_col else [])]
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids
-    return docs.select(*cols).mapInArrow(lambda it: _pieces(it, path, end_id, limits, keep_ids, pa.int64()), schema)
+    return common.mapped(docs.select(*cols), lambda it: _pieces(it, path, end_id, limits, keep_ids, pa.int64()), schema)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,8 @@ from . import common
 
 BITS, TRAIN_ROWS, EPOCHS = 20, 4096, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.0005, 0.01
-#: Words remembered by a worker.
-WORDS = 600_000
+#: Words remembered by a worker during a task; ten thousand documents have half a million, most of them once.
+WORDS = 100_000
 _MASK = np.uint64((1 << BITS) - 1)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _FAMILIES = ("word", "pair", "shape", "shape pair", "repeats")
@@ -155,9 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = train((text.as_py(), label.as_py()) for batch in batches for text, label in zip(batch.column(1), batch.column(0), strict=True))
+        _words().clear()
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(weights.tobytes())], pa.binary()), pa.array([bias], pa.float64())], ["weights", "bias"])
 
-    found = ordered.mapInArrow(learn, "weights binary, bias double").collect()
+    found = common.mapped(ordered, learn, "weights binary, bias double").collect()
     if not found:
         return zlib.compress(np.zeros(1 << BITS, np.float32).tobytes()), 0.0
     return bytes(found[0]["weights"]), found[0]["bias"]
@@ -183,8 +184,9 @@ def score(docs: DataFrame, model: tuple[bytes, float], id_col: str = "doc_id", t
         for batch in batches:
             scores = pa.array([raw_score(x.as_py() or "", weights, bias) for x in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.columns if keep else batch.columns[:1]), scores], names)
+        _words().clear()
 
-    return chosen.mapInArrow(run, T.StructType([*(list(chosen.schema.fields) if keep else [T.StructField("doc_id", T.LongType())]), T.StructField(name, T.DoubleType())]))
+    return common.mapped(chosen, run, T.StructType([*(list(chosen.schema.fields) if keep else [T.StructField("doc_id", T.LongType())]), T.StructField(name, T.DoubleType())]))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,7 +151,7 @@ def _runs_of(texts: DataFrame, length: int) -> DataFrame:
                     yield out.batch()
             yield out.batch()
 
-    return texts.mapInArrow(run, _RUNS)
+    return common.mapped(texts, run, _RUNS)
 
 
 def _split_again(found: DataFrame, length: int, family: int) -> DataFrame:
@@ -167,7 +167,7 @@ def _split_again(found: DataFrame, length: int, family: int) -> DataFrame:
                     out.add(_signed(mixed), data[first:end], key, start + first, places(raw[first:end], length, family))
             yield out.batch()
 
-    return found.select("route", "bytes", "key", "start").mapInArrow(run, _RUNS + ", times long")
+    return common.mapped(found.select("route", "bytes", "key", "start"), run, _RUNS + ", times long")
 
 
 def _sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -191,7 +191,7 @@ def _sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFr
         if rows:
             yield flush(rows)
 
-    return distinct.repartition("route").sortWithinPartitions("route").select("route", "sid", "bytes", "n").mapInArrow(run, "sid binary, spans array<int>")
+    return common.mapped(distinct.repartition("route").sortWithinPartitions("route").select("route", "sid", "bytes", "n"), run, "sid binary, spans array<int>")
 
 
 def cover(starts: np.ndarray, length: int) -> list[int]:
@@ -238,7 +238,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], ["doc_id", "key", "n_bytes", "vals", "times"])
 
     # Only what is read several times is written: each file of a task costs its executor a file's buffers and, in a local folder, processes.
-    rows = docs.mapInArrow(scan, "doc_id long, key binary, n_bytes long, vals array<long>, times array<long>")
+    rows = common.mapped(docs, scan, "doc_id long, key binary, n_bytes long, vals array<long>, times array<long>")
     # One row of each text stands for all.
     texts = common.cut(rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("vals").alias("vals"), F.first("times").alias("times")), "repeats-texts")
     values = texts.select("key", "doc_id", F.explode(F.arrays_zip("vals", "times")).alias("x")).select("key", "doc_id", F.col("x.vals").alias("v"), F.col("x.times").alias("t"))
@@ -272,7 +272,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["key", "spans"])
 
     copied = texts.where("copies > 1").select("key", F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("spans"))
-    out = common.cut(copied.unionByName(spans.mapInArrow(merged, "key binary, spans array<int>").select("key", F.lit(False).alias("copied"), "spans")), "repeats-fate")
+    out = common.cut(copied.unionByName(common.mapped(spans, merged, "key binary, spans array<int>").select("key", F.lit(False).alias("copied"), "spans")), "repeats-fate")
     for frame in (texts, found):
         common.drop(frame)
     return out

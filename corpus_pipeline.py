@@ -67,7 +67,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    done = changed.mapInArrow(run, docs.schema)
+    done = common.mapped(changed, run, docs.schema)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else done
 
 

@@ -1,7 +1,13 @@
+import os
+import re
+import zlib
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from attestra.llm import quality
+from attestra.llm import common, quality
 
 from .test_dedup import brute_components, brute_starts
 from .test_tokens import check_packing, reference  # noqa: F401
@@ -48,3 +54,28 @@ def test_edges(spark, edge_docs, no_docs):
         assert cp.packed(spark, docs, SF).select("doc_id").count() >= n
     once = cp.one_of_each_group(spark, edge_docs.select(*keep), SF)
     assert once.where("doc_id = 3").count() == 1 and once.where("doc_id = 5").count() == 0 and once.where("doc_id IN (1, 2, 6)").count() == 3
+
+
+def test_workers_keep_no_memory_of_a_task_that_has_ended(spark):
+    def state(batches):
+        for _ in batches:
+            pass
+        rollup = Path("/proc/self/smaps_rollup").read_text()
+        kept = sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", rollup))) // 1024
+        yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([len(quality._words())]), pa.array([kept])], ["pid", "words", "mb"])
+
+    # Another environment gets a daemon and workers of its own; one task at a time needs one worker.
+    env = spark.sparkContext.environment
+    common.ship(spark)
+    env["ATTESTRA_TEST"] = "memory"
+    try:
+        probe = lambda: spark.range(1, numPartitions=1).mapInArrow(state, "pid long, words long, mb long").collect()[0]
+        before = probe()
+        words = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(299)), lambda k: F.concat(F.lit("w"), F.hex(F.xxhash64("id", k)))), " ")
+        docs = spark.range(4000, numPartitions=1).select(F.col("id").alias("doc_id"), words.alias("text"))
+        assert quality.score(docs, (zlib.compress(bytes(4 << quality.BITS)), 0.0)).where("score = 0.5").count() == 4000
+        after = probe()
+    finally:
+        del env["ATTESTRA_TEST"]
+    assert after.pid == before.pid
+    assert after.words == 0 and after.mb < before.mb + 40, (before, after)
