@@ -10,10 +10,14 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _ROOT = str(Path(__file__).resolve().parents[2])
+#: Bytes of a row group that saved() writes.
+_GROUP = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -70,7 +74,9 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         finally:
             give_back()
 
-    return df.mapInArrow(lean, schema)
+    out = df.mapInArrow(lean, schema)
+    out.__dict__["_mapped"] = df, run
+    return out
 
 
 def cut(df: DataFrame, tag: str) -> DataFrame:
@@ -80,8 +86,65 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _plain_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder as Python's open() knows it; null if it lies in a store that only Spark reads."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    plain = found.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    return found.toUri().getPath() if plain else None
+
+
+def _file(batches: Iterator[pa.RecordBatch], kind: pa.Schema, folder: str) -> Iterator[pa.RecordBatch]:
+    """Write batches to one Parquet file whose name begins with an underscore, and give the rest of the name; no rows, no file."""
+    name, writer, held = f"part-{uuid.uuid4().hex}.parquet", None, []
+
+    def put() -> None:
+        nonlocal writer
+        writer = writer or pq.ParquetWriter(f"{folder}/_{name}", kind)
+        writer.write_table(pa.Table.from_batches(held).select(kind.names).cast(kind))
+        held.clear()
+
+    try:
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.nbytes for b in held) >= _GROUP:
+                put()
+        if held:
+            put()
+    finally:
+        if writer:
+            writer.close()
+    if writer:
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+
+def saved(df: DataFrame, tag: str) -> DataFrame:
+    """cut(), but Python workers write the files where they can reach the shared folder; for longs, truth values, text, bytes and arrays of these.
+
+    Hadoop's local file system starts a chmod for each file and folder it makes. Until such a process has become that
+    program it shares its executor's memory, and who adds up the executor's processes counts a full heap twice. Workers
+    start none. Readers pass over names with an underscore, so files of failed or repeated tasks, which the driver does
+    not rename, are never read. The function of a mapped() frame runs in the worker that writes.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    folder = _plain_folder(spark, path)
+    if folder is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    os.makedirs(folder)
+    kind = to_arrow_schema(df.schema._as_nullable())
+    source, run = df.__dict__.get("_mapped", (df, iter))
+    names = [r.name for r in mapped(source, lambda batches: _file(run(batches), kind, folder), "name string").collect()]
+    for name in names:
+        os.rename(f"{folder}/_{name}", f"{folder}/{name}")
+    if not names:
+        pq.write_table(kind.empty_table(), f"{folder}/part-none.parquet")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop(df: DataFrame) -> None:
-    """Delete the files behind a frame made by cut(), once nothing reads it any more."""
+    """Delete the files behind a frame made by cut() or saved(), once nothing reads it any more."""
     spark = df.sparkSession
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(f)

@@ -156,13 +156,13 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the least label of all neighbours, then that label's own label, so paths are halved.
     """
-    both = common.cut(links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x")).select("x.*"), "neardup-edges")
-    labels = common.cut(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("label")), "neardup-labels")
+    both = common.saved(links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x")).select("x.*"), "neardup-edges")
+    labels = common.saved(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("label")), "neardup-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
         lower = labels.join(near.withColumnRenamed("u", "node"), "node", "left").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = common.cut(lower.join(up, "label", "left").select("node", F.least("label", "up").alias("label"), "was"), "neardup-labels")
+        new = common.saved(lower.join(up, "label", "left").select("node", F.least("label", "up").alias("label"), "was"), "neardup-labels")
         done = new.where("label <> was").isEmpty()
         common.drop(labels)
         labels = new.drop("was")
@@ -172,10 +172,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    likely = common.cut(_likely(candidates, nodes, percent / 100), "neardup-pairs")
+    likely = common.saved(_likely(candidates, nodes, percent / 100), "neardup-pairs")
     named = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = common.cut(_sets(docs, nodes.join(named, "node").select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-sets")
-    links = common.cut(_confirmed(likely, sets, percent), "neardup-links")
+    sets = common.saved(_sets(docs, nodes.join(named, "node").select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-sets")
+    links = common.saved(_confirmed(likely, sets, percent), "neardup-links")
     common.drop(likely)
     common.drop(sets)
     return links
@@ -184,7 +184,7 @@ def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, words: i
 def _differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """hub, node, label, n, hub_n, d (size), diff: the hashes that only one of node and hub has; hubs are left out themselves."""
     named = open_.select(F.explode(F.array("node", "hub")).alias("node")).distinct()
-    sets = common.cut(_sets(docs, nodes.join(named, "node").select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-sets")
+    sets = common.saved(_sets(docs, nodes.join(named, "node").select(F.col("doc_id").alias("w_id"), "node"), words).dropDuplicates(["node"]), "neardup-sets")
     hubs = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_hashes"))
     joined = open_.join(sets, "node").join(hubs, "hub").select("hub", "node", "label", "hashes", "hub_hashes")
 
@@ -195,7 +195,7 @@ def _differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words: int
             counts = [pa.array(c, pa.int64()) for c in ([len(x) for x, _ in pairs], [len(y) for _, y in pairs], [len(x) for x in diff])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *counts, pa.array(diff, pa.list_(pa.int64()))], ["hub", "node", "label", "n", "hub_n", "d", "diff"])
 
-    out = common.cut(common.mapped(joined, run, "hub binary, node binary, label binary, n long, hub_n long, d long, diff array<long>"), "neardup-differences")
+    out = common.saved(common.mapped(joined, run, "hub binary, node binary, label binary, n long, hub_n long, d long, diff array<long>"), "neardup-differences")
     common.drop(sets)
     return out
 
@@ -218,13 +218,13 @@ def _by_differences(open_: DataFrame, nodes: DataFrame, docs: DataFrame, words:
     length = F.col("d") - F.greatest(F.lit(1), F.ceil(shared / (2 * plus) - 1e-9)) + 1
     rare = F.transform(F.slice("k", F.lit(1), F.greatest(length, F.lit(0)).cast("int")), lambda k, i: F.struct(k["s"].alias("s"), (i + 1).alias("at"), k["mixed"].alias("mixed")))
     prefix = placed.join(found.drop("diff"), ["hub", "node"]).select("hub", "node", "label", "n", "d", F.explode(F.filter(rare, lambda k: k["mixed"])).alias("k"))
-    prefix = common.cut(prefix.select("hub", "node", "label", "n", "d", "k.s", "k.at"), "neardup-prefix")
+    prefix = common.saved(prefix.select("hub", "node", "label", "n", "d", "k.s", "k.at"), "neardup-prefix")
     a, b = prefix.alias("a"), prefix.alias("b")
     close = (F.col("a.n") * percent <= F.col("b.n") * 100) & (F.col("b.n") * percent <= F.col("a.n") * 100)
     # At the first difference that both have, this one and the shorter rest are all that can be the same.
     enough = 2 * plus * (F.least(F.col("a.d") - F.col("a.at"), F.col("b.d") - F.col("b.at")) + 1) >= (F.col("a.d") + F.col("b.d")) * plus - minus * (F.col("a.n") + F.col("b.n"))
     pairs = a.join(b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & close & enough)
-    out = common.cut(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "neardup-rare")
+    out = common.saved(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "neardup-rare")
     common.drop(found)
     common.drop(prefix)
     return out
@@ -242,21 +242,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # Unlike sets are n and n + 1 at best, which fewer shingles than these cannot make similar enough.
     least = percent / (100 - percent) if percent < 100 else math.inf
-    rows = common.cut(sketch(docs, words, least if least == math.inf else math.ceil(least - 1e-9)), "neardup-rows")
-    nodes = common.cut(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "neardup-nodes")
+    rows = common.saved(sketch(docs, words, least if least == math.inf else math.ceil(least - 1e-9)), "neardup-rows")
+    nodes = common.saved(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "neardup-nodes")
     placed = nodes.select("node", F.posexplode("keys").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
-    sizes = common.cut(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "neardup-sizes")
-    members = common.cut(placed.join(sizes, "bucket"), "neardup-members")
+    sizes = common.saved(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "neardup-sizes")
+    members = common.saved(placed.join(sizes, "bucket"), "neardup-members")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    hubs = common.cut(members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("hub")), "neardup-hubs")
-    grouped = common.cut(members.join(hubs, "bucket").where("node <> hub"), "neardup-groups")
+    hubs = common.saved(members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("hub")), "neardup-hubs")
+    grouped = common.saved(members.join(hubs, "bucket").where("node <> hub"), "neardup-groups")
     pairs = grouped.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = _verified(pairs, nodes, docs, words, percent)
     labels = components(links)
     label = F.coalesce("label", "node")
     marked = grouped.where("size > 2").join(labels, "node", "left").select("bucket", "hub", "node", label.alias("label"))
     mixed = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    open_ = common.cut(marked.join(mixed, "bucket", "left_semi").select("hub", "node", "label").distinct(), "neardup-open")
+    open_ = common.saved(marked.join(mixed, "bucket", "left_semi").select("hub", "node", "label").distinct(), "neardup-open")
     used = [sizes, members, hubs, grouped, links, open_]
     if not open_.isEmpty():
         candidates = _by_differences(open_, nodes, docs, words, percent)
@@ -271,7 +271,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     named = classes.select("node", "label").join(ids, "label").select("node", "component_id")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    result = common.cut(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "neardup-result")
+    result = common.saved(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "neardup-result")
     for frame in (rows, nodes, labels, *used):
         common.drop(frame)
     return result

@@ -1,10 +1,11 @@
 import collections
 import hashlib
 import tracemalloc
+from pathlib import Path
 
 import pytest
 
-from attestra.llm import neardup, repeats, suffix
+from attestra.llm import common, neardup, repeats, suffix
 
 from .conftest import invented
 
@@ -172,6 +173,48 @@ def test_registers_of_unlike_sets_share_a_band(rng):
         assert min(bands) >= 1 and 10.5 < np.mean(bands) < 16 and np.var(bands) < 16
 
 
+def faults_of_ended_children(pid):
+    """Page faults of the processes that this one started and saw end."""
+    return int(Path(f"/proc/{pid}/stat").read_text().rsplit(")", 1)[1].split()[8])
+
+
+def test_near_duplicates_start_no_processes(spark, rng):
+    """Hadoop starts a chmod for each file it makes; until that is another program, it counts as a second JVM."""
+    df = spark.createDataFrame([(k, invented(rng, 5 + k % 3)) for k in range(60)] + [(60, "one two three"), (61, "one two three")], "doc_id long, text string")
+    jvm = spark._jvm.java.lang.ProcessHandle.current().pid()
+    common.shared_dir(spark)
+    df.count()
+    before = faults_of_ended_children(jvm)
+    assert neardup.near_duplicates(df, words=2).count() == 62
+    assert faults_of_ended_children(jvm) == before
+
+
+def test_saved_frames_equal_what_was_saved(spark, tmp_path, monkeypatch):
+    rows = [(1, b"a", "x", True, [1, None]), (None, None, None, None, None), (2, b"", "", False, [])]
+    df = spark.createDataFrame(rows, "i long, b binary, s string, t boolean, l array<long>").repartition(5)
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    monkeypatch.setattr(common, "_GROUP", 1)
+    key = lambda r: str(r)
+    doubled = common.mapped(df, lambda batches: (b for x in batches for b in (x, x)), df.schema)
+    for frame, times in ((df, 1), (doubled, 2), (df.where("i > 9"), 0)):
+        out = common.saved(frame, "t")
+        (folder,) = tmp_path.iterdir()
+        (folder / "_part-of-a-failed-task.parquet").write_bytes(b"not whole")
+        assert out.schema == df.schema
+        assert sorted(map(key, out.collect())) == sorted(map(key, df.collect() * times))
+        common.drop(out)
+        assert not list(tmp_path.iterdir())
+
+
+def test_frames_are_saved_in_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.only.link./x", f"file://{tmp_path}")
+    monkeypatch.setattr(common, "shared_dir", lambda spark: "viewfs://only/x")
+    df = spark.range(7).toDF("i")
+    twice = common.mapped(df, lambda batches: (b for x in batches for b in (x, x)), "i long")
+    for frame, want in ((df, list(range(7))), (twice, sorted([*range(7)] * 2))):
+        assert sorted(r.i for r in common.saved(frame, "t").collect()) == want
+
+
 def test_near_duplicate_edges(spark, edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
     for words in (2, 5):
