@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of a row group that saved() writes.
-_GROUP = 8 << 20
+_GROUP = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -99,7 +99,7 @@ def _file(batches: Iterator[pa.RecordBatch], kind: pa.Schema, folder: str) -> It
 
     def put() -> None:
         nonlocal writer
-        writer = writer or pq.ParquetWriter(f"{folder}/_{name}", kind)
+        writer = writer or pq.ParquetWriter(f"{folder}/_{name}", kind, use_dictionary=False)
         writer.write_table(pa.Table.from_batches(held).select(kind.names).cast(kind))
         held.clear()
 
